@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,11 +42,21 @@ def change(value: Column, base: Column) -> Column:
     return ratio(value, base) - 1
 
 
-def money(value: Column) -> Column:
-    """Fix a computed amount to four decimals so that later sums do not depend on row order."""
+def exact(value: Column) -> Column:
+    """A whole or decimal column in the type of amounts."""
     return value.cast(AMOUNT)
 
 
+def money(value: Column) -> Column:
+    """Round a double to four decimals, half up, and keep it as a decimal.
+
+    Fixing every computed amount in its row makes later sums exact, whatever order partitions and
+    retried tasks deliver them in.
+    """
+    ten_thousandths = F.round(value * 10000).cast("decimal(24,0)")
+    return (ten_thousandths * F.lit(Decimal("0.0001"))).cast(AMOUNT)
+
+
 def half_even(value: Column) -> Column:
     return F.bround(value)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import half_even, money, not_in
+from spendlens.functions.exprs import exact, half_even, money, not_in
 from spendlens.operators.metrics import sums
 
 CELL = ("period", "province", "installments")
@@ -66,7 +66,7 @@ def split_by_weights(rows: DataFrame, pooled: DataFrame, amount_weight: str,
     weights = pooled.withColumnsRenamed({"period": "_month", "category": "_category"})
 
     def part(measure: str, share: str) -> Column:
-        whole = money(F.col(measure))
+        whole = exact(F.col(measure))
         piece = money(F.col(measure).cast("double") * F.col(f"share_{share}"))
         return F.when(split, piece).otherwise(whole).alias(measure)
 
@@ -86,8 +86,8 @@ def reassign_merchants(sales: DataFrame, registry: DataFrame, pooled: DataFrame,
     """
     others = (sales.filter(not_in(F.col("category"), [category]))
               .select("period", "province", "category", "merchant_id",
-                      money(F.col("amount")).alias("amount"),
-                      money(F.col("operations")).alias("operations")))
+                      exact(F.col("amount")).alias("amount"),
+                      exact(F.col("operations")).alias("operations")))
     known = registry.select("merchant_id").distinct().withColumn("_listed", F.lit(True))
     flagged = sales.filter(F.col("category") == category).join(known, "merchant_id", "left")
     return others.unionByName(split_by_weights(flagged, pooled, amount_weight, "_listed"))

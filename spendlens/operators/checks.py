@@ -15,6 +15,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance:
               names: tuple[str, str] = ("clean", "raw")) -> DataFrame:
     """Totals of two tables side by side, with equality flags.
 
+    Amounts are equal up to ``tolerance`` for the rounding of their parts, plus double precision.
     Union and one aggregation instead of two aggregations and a full join: one shuffle, and a key
     that only one side has shows nulls on the other.
     """
@@ -26,10 +27,11 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance:
     def side(measure: str, name: str) -> Column:
         return F.sum(F.when(F.col("_side") == name, F.col(measure))).alias(f"{measure}_{name}")
 
-    amounts = F.col(f"amount_{a}") - F.col(f"amount_{b}")
+    amounts = (F.col(f"amount_{a}") - F.col(f"amount_{b}")).cast("double")
+    allowed = F.lit(tolerance) + F.abs(F.col(f"amount_{b}").cast("double")) * 1e-12
     return (both.groupBy(*keys)
             .agg(*[side(m, n) for n in names for m in ("amount", "operations")])
-            .withColumn("amount_equal", F.abs(amounts) <= tolerance)
+            .withColumn("amount_equal", F.abs(amounts) <= allowed)
             .withColumn("operations_equal",
                         F.col(f"operations_{a}") == F.col(f"operations_{b}"))
             .withColumn("operations_diff", F.col(f"operations_{a}") - F.col(f"operations_{b}")))
