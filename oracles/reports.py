@@ -383,7 +383,7 @@ SELECTS = {
     "null_rows_count": " UNION ALL ".join([
         null_count("payments", "payments", PAYMENT_KEYS),
         null_count("platform_sales", "learning_raw", SALE_KEYS),
-        null_count("platform_channel", "platform_base", [*SALE_KEYS, "amount_real"]),
+        null_count("platform_channel", "platform_rows", SALE_KEYS),
         null_count("final_base", "final_base", PAYMENT_KEYS)]),
     "missing_plan_months": "SELECT period FROM missing_plan_months",
     "filled_platforms": f"SELECT {PLATFORM_FACTS} FROM filled_platforms",

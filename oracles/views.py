@@ -155,6 +155,9 @@ VIEWS = {
     "base": """
         SELECT b.*, CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
         FROM base_nominal b LEFT JOIN deflator d ON b.period = d.period""",
+    "platform_rows": """
+        SELECT * FROM platform_sales
+        WHERE period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24)""",
     "platform_base": """
         SELECT s.* REPLACE (CASE WHEN category IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'Appliances'
                                  WHEN category = 'Brand#23' THEN 'Brand#22' ELSE category END AS category),

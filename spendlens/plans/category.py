@@ -34,7 +34,7 @@ def ecommerce_reassigned(ws: Workspace) -> DataFrame:
 
 
 def province_shares_in_category(ws: Workspace) -> DataFrame:
-    cells = t.since(ws.base_nominal, ["province", "category"], ws.params.accumulate_from, "amount")
+    cells = t.since(ws.base, ["province", "category"], ws.params.accumulate_from, "amount")
     return shares(cells, ["category"], share="amount")
 
 
@@ -88,7 +88,7 @@ def merchant_count_by_category(ws: Workspace) -> DataFrame:
 
 
 def category_shares_since(ws: Workspace) -> DataFrame:
-    totals = t.since(ws.base_nominal, ["category"], ws.params.accumulate_from, "operations", "amount")
+    totals = t.since(ws.base, ["category"], ws.params.accumulate_from, "operations", "amount")
     return total_shares(totals, share_operations="operations", share_amount="amount")
 
 
@@ -99,9 +99,9 @@ TABLES = {
     "ecom_reassigned": ecommerce_reassigned,
     "merchant_base": lambda ws: ws.merchant_base,
     "cat_share_amount": lambda ws: t.monthly_shares(
-        ws.base_nominal, "category", "amount", ws.params.recent_from),
+        ws.base, "category", "amount", ws.params.recent_from),
     "cat_share_ops": lambda ws: t.monthly_shares(
-        ws.base_nominal, "category", "operations", ws.params.recent_from),
+        ws.base, "category", "operations", ws.params.recent_from),
     "prov_in_cat": province_shares_in_category,
     "merchant_cat": merchants_by_category,
     "merchant_top10": leading_merchants,

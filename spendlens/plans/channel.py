@@ -10,12 +10,12 @@ from spendlens.operators.ranking import in_latest_month
 from spendlens.plans import tables as t
 from spendlens.plans.workspace import Workspace
 
-# Tables that both channels publish, as functions of (workspace, deflated channel base).
+# Tables that both channels publish, as functions of (workspace, channel cube).
 SHARED = {
     "summary12": lambda ws, b: t.summary(b),
+    "cat_growth3": lambda ws, b: t.category_growth(b, ws.params, with_december=False),
     "top7_amount": lambda ws, b: t.top_categories(b, ws.params, "amount"),
     "top7_ops": lambda ws, b: t.top_categories(b, ws.params, "operations"),
-    "cat_growth3": lambda ws, b: t.category_growth(b, ws.params, with_december=False),
     "cat_ops": lambda ws, b: t.category_operations(b, ws.params),
     "plan_share": lambda ws, b: t.plan_shares(b),
     "plan_share_cmp": lambda ws, b: t.plan_shares_compared(b),
@@ -45,9 +45,14 @@ def _bound(table, base: str):
     return lambda ws: table(ws, getattr(ws, base))
 
 
+def _channel_tables(channel: str) -> dict:
+    return {f"{channel}_{name}": _bound(table, f"{channel}_base")
+            for name, table in SHARED.items()}
+
+
 TABLES = {
-    **{f"platform_{name}": _bound(table, "platform_base") for name, table in SHARED.items()},
-    **{f"aggregator_{name}": _bound(table, "aggregator_base") for name, table in SHARED.items()},
+    **_channel_tables("platform"),
+    **_channel_tables("aggregator"),
     "platform_share": lambda ws: t.member_shares(ws.platform_base, "platform"),
     "minor_platform_prov": minor_platforms,
     "aggregator_domain": lambda ws: ws.other_aggregators.select("aggregator").distinct(),

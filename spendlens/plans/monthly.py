@@ -21,7 +21,7 @@ def growth_and_year_shares(ws: Workspace) -> DataFrame:
         one = yearly.filter(F.col("year") == year).drop("year").withColumnsRenamed(columns)
         wide = wide.join(one, "bucket", "left")
         names += columns.values()
-    return mask_before(wide, latest_month(ws.base_nominal), names)
+    return mask_before(wide, latest_month(ws.base), names)
 
 
 def year_shares(ws: Workspace) -> DataFrame:
@@ -30,7 +30,7 @@ def year_shares(ws: Workspace) -> DataFrame:
 
 
 def operations_year_shares(ws: Workspace) -> DataFrame:
-    return t.category_shares_by_year(ws.base_nominal, ws.params, "operations", share="operations")
+    return t.category_shares_by_year(ws.base, ws.params, "operations", share="operations")
 
 
 def operations_years_side_by_side(ws: Workspace) -> DataFrame:
@@ -41,7 +41,7 @@ def operations_years_side_by_side(ws: Workspace) -> DataFrame:
 
 def region_growth(ws: Workspace) -> DataFrame:
     regions = ws.table("population").select("province", "region")
-    return t.place_growth(ws.base_nominal.join(regions, "province", "left"), "region")
+    return t.place_growth(ws.base.join(regions, "province", "left"), "region")
 
 
 def population_total(ws: Workspace) -> DataFrame:
@@ -49,38 +49,38 @@ def population_total(ws: Workspace) -> DataFrame:
 
 
 def provinces_per_capita(ws: Workspace) -> DataFrame:
-    return per_capita(ws.base_nominal, ws.table("population"), ws.params.recent_from)
+    return per_capita(ws.base, ws.table("population"), ws.params.recent_from)
 
 
 TABLES = {
-    "m_nominal": lambda ws: t.monthly(ws.base_nominal, "amount"),
+    "m_nominal": lambda ws: t.monthly(ws.base, "amount"),
     "m_real": lambda ws: t.monthly(ws.base, "amount_real"),
-    "m_ops": lambda ws: t.monthly(ws.base_nominal, "operations"),
-    "top7_amount": lambda ws: t.top_categories(ws.base_nominal, ws.params, "amount"),
-    "top7_ops": lambda ws: t.top_categories(ws.base_nominal, ws.params, "operations"),
-    "top7_amount_year": lambda ws: t.top_categories_by_year(ws.base_nominal, ws.params, "amount"),
-    "top7_ops_year": lambda ws: t.top_categories_by_year(ws.base_nominal, ws.params, "operations"),
+    "m_ops": lambda ws: t.monthly(ws.base, "operations"),
+    "top7_amount": lambda ws: t.top_categories(ws.base, ws.params, "amount"),
+    "top7_ops": lambda ws: t.top_categories(ws.base, ws.params, "operations"),
+    "top7_amount_year": lambda ws: t.top_categories_by_year(ws.base, ws.params, "amount"),
+    "top7_ops_year": lambda ws: t.top_categories_by_year(ws.base, ws.params, "operations"),
     "cat_growth5": lambda ws: t.category_growth(ws.base, ws.params, with_december=True),
     "cat_year_share": year_shares,
     "cat_growth5_year": growth_and_year_shares,
     "cat_growth3": lambda ws: t.category_growth(ws.base, ws.params, with_december=False),
-    "cat_ops": lambda ws: t.category_operations(ws.base_nominal, ws.params),
+    "cat_ops": lambda ws: t.category_operations(ws.base, ws.params),
     "cat_ops_year": operations_year_shares,
     "cat_ops_year_side": operations_years_side_by_side,
-    "plan_share": lambda ws: t.plan_shares(ws.base_nominal),
-    "plan_share_cmp": lambda ws: t.plan_shares_compared(ws.base_nominal),
+    "plan_share": lambda ws: t.plan_shares(ws.base),
+    "plan_share_cmp": lambda ws: t.plan_shares_compared(ws.base),
     "plan_share_year": lambda ws: t.plan_shares_by_year(ws.base, ws.params),
-    "plan_in_cat": lambda ws: t.plan_shares_in_category(ws.base_nominal, ws.params),
-    "plan_in_cat_last": lambda ws: t.plan_shares_in_category_latest(ws.base_nominal, ws.params),
-    "ticket": lambda ws: t.tickets(ws.base_nominal, ws.params),
-    "ticket_ratio": lambda ws: t.tickets_with_ratio(ws.base_nominal, ws.params),
-    "ticket_month": lambda ws: t.tickets_by_month(ws.base_nominal),
-    "prov_growth": lambda ws: t.place_growth(ws.base_nominal, "province"),
+    "plan_in_cat": lambda ws: t.plan_shares_in_category(ws.base, ws.params),
+    "plan_in_cat_last": lambda ws: t.plan_shares_in_category_latest(ws.base, ws.params),
+    "ticket": lambda ws: t.tickets(ws.base, ws.params),
+    "ticket_ratio": lambda ws: t.tickets_with_ratio(ws.base, ws.params),
+    "ticket_month": lambda ws: t.tickets_by_month(ws.base),
+    "prov_growth": lambda ws: t.place_growth(ws.base, "province"),
     "region_growth": region_growth,
     "prov_year_real": lambda ws: annual_shares(
         ws.base, ws.params.years[1:], "province", share_real="amount_real"),
     "pop_total": population_total,
     "prov_percap": provinces_per_capita,
     "region_percap": lambda ws: per_capita_by_region(provinces_per_capita(ws)),
-    "prov_main_cat": lambda ws: t.main_category(ws.base_nominal),
+    "prov_main_cat": lambda ws: t.main_category(ws.base),
 }

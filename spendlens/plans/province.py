@@ -14,7 +14,7 @@ from spendlens.plans.workspace import Workspace
 
 
 def province_categories(ws: Workspace) -> DataFrame:
-    return t.since(ws.base_nominal, ["province", "category"], ws.params.accumulate_from, "amount")
+    return t.since(ws.base, ["province", "category"], ws.params.accumulate_from, "amount")
 
 
 def top_in_province(ws: Workspace) -> DataFrame:
@@ -32,7 +32,7 @@ def category_shares_in_province(ws: Workspace) -> DataFrame:
 
 
 def plan_shares_in_province(ws: Workspace) -> DataFrame:
-    cells = t.since(ws.base_nominal, ["province", "category", "installments"],
+    cells = t.since(ws.base, ["province", "category", "installments"],
                     ws.params.accumulate_from, "amount")
     main = cells.join(top_in_province(ws), ["province", "category"], "left_semi")
     return shares(main, ["province", "category"], share="amount")
@@ -72,9 +72,9 @@ def registry_addresses(ws: Workspace) -> DataFrame:
 
 TABLES = {
     "prov_share_amount": lambda ws: t.monthly_shares(
-        ws.base_nominal, "province", "amount", ws.params.recent_from),
+        ws.base, "province", "amount", ws.params.recent_from),
     "prov_share_ops": lambda ws: t.monthly_shares(
-        ws.base_nominal, "province", "operations", ws.params.recent_from),
+        ws.base, "province", "operations", ws.params.recent_from),
     "prov_top7": top_in_province,
     "prov_cat_share": category_shares_in_province,
     "prov_cat_plan": plan_shares_in_province,

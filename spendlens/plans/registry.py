@@ -19,38 +19,86 @@ REPORTS = {
 
 TABLES = {name: table for report in REPORTS.values() for name, table in report.items()}
 
-# Sorting belongs to publishing; queries return unordered tables.
-_PERIOD = [F.col("period")]
-_BUCKETS = [F.col("period"), *other_last("bucket", "amount")]
+_CHANNEL = ("cat_growth3", "cat_ops", "plan_share_cmp", "plan_in_cat_last", "ticket_ratio",
+            "ticket_month", "prov_percap", "region_percap", "prov_main_cat")
+
+# The tables each report publishes.
+BUNDLES = {
+    "monthly": (
+        "m_nominal", "m_real", "m_ops", "cat_growth5_year", "cat_ops", "cat_ops_year_side",
+        "plan_share_cmp", "plan_share_year", "plan_in_cat_last", "ticket_ratio", "ticket_month",
+        "prov_growth", "region_growth", "prov_year_real", "prov_percap", "region_percap",
+        "prov_main_cat"),
+    "province": (
+        "prov_share_amount", "prov_share_ops", "prov_cat_share", "prov_cat_plan",
+        "merchants_prov", "registry_dups", "registry_locality", "registry_address"),
+    "category": (
+        "cat_share_amount", "cat_share_ops", "prov_in_cat", "merchant_share", "merchants_cat"),
+    "platform": (
+        "summary12", *[f"platform_{name}" for name in _CHANNEL], "platform_share",
+        "minor_platform_prov"),
+    "aggregator": (
+        "aggregator_summary12", "aggregator_share", "aggregator_rank",
+        *[f"aggregator_{name}" for name in _CHANNEL]),
+    "merchants": (
+        "merchants_since", "merchants_since_count", "merchants_new", "merchants_new_count",
+        "merchants_new_rows"),
+    "since": ("cat_share_since",),
+    "checks": ("checks", "allocated", "reconcile", "category_coverage", "weights_sum",
+               "weights_final_sum", "residual_weight_sum"),
+}
+HEADERLESS = ("aggregator_rank",)
+
+# Sorting belongs to publishing; queries return unordered tables. A leading "-" is descending, and
+# "@bucket:measure" puts "Other" last within the columns before it.
+ORDERS = {
+    "m_nominal": ["period"],
+    "m_real": ["period"],
+    "m_ops": ["period"],
+    "summary12": ["period"],
+    "deflator": ["period"],
+    "ticket_month": ["period"],
+    "top7_amount": ["-amount", "category"],
+    "top7_ops": ["-operations", "category"],
+    "cat_growth3": ["period", "@bucket:amount"],
+    "cat_growth5": ["period", "@bucket:amount"],
+    "cat_growth5_year": ["period", "@bucket:amount"],
+    "cat_ops": ["period", "@bucket:operations"],
+    "cat_ops_year": ["year", "@bucket:share"],
+    "cat_ops_year_side": ["rank"],
+    "plan_share": ["period", "installments"],
+    "plan_share_cmp": ["period", "installments"],
+    "plan_share_year": ["year", "installments"],
+    "plan_in_cat_last": ["period", "category", "installments"],
+    "ticket": ["period", "category", "installments"],
+    "ticket_ratio": ["period", "category", "installments"],
+    "prov_growth": ["period", "province"],
+    "region_growth": ["period", "region"],
+    "prov_percap": ["period", "province"],
+    "region_percap": ["period", "region"],
+    "prov_main_cat": ["province"],
+    "platform_share": ["period", "platform"],
+    "aggregator_share": ["period", "aggregator", "amount"],
+    "aggregator_rank": ["-amount", "aggregator"],
+    "prov_share_amount": ["period", "province"],
+    "prov_share_ops": ["period", "province"],
+    "prov_cat_share": ["-share", "province", "bucket"],
+    "prov_in_cat": ["-share", "category", "province"],
+    "merchants_prov": ["period", "-merchants", "province"],
+    "registry_rows": ["-registry_rows", "merchant_id"],
+    "registry_locality": ["province", "locality"],
+}
 
 
 def order_of(name: str) -> list:
     """Sort columns of a published table, or none."""
     short = name.removeprefix("platform_").removeprefix("aggregator_")
-    if short in ("cat_growth5", "cat_growth5_year", "cat_growth3"):
-        return _BUCKETS
-    if short == "cat_ops":
-        return [F.col("period"), *other_last("bucket", "operations")]
-    if short in ("m_nominal", "m_real", "m_ops", "summary12", "deflator", "ticket_month"):
-        return _PERIOD
-    return {
-        "top7_amount": [F.desc("amount"), F.col("category")],
-        "top7_ops": [F.desc("operations"), F.col("category")],
-        "cat_ops_year_side": [F.col("rank")],
-        "plan_share": [F.col("period"), F.col("installments")],
-        "plan_share_cmp": [F.col("period"), F.col("installments")],
-        "plan_share_year": [F.col("year"), F.col("installments")],
-        "prov_growth": [F.col("period"), F.col("province")],
-        "region_growth": [F.col("period"), F.col("region")],
-        "prov_percap": [F.col("period"), F.col("province")],
-        "region_percap": [F.col("period"), F.col("region")],
-        "prov_main_cat": [F.col("province")],
-        "ticket": [F.col("period"), F.col("category"), F.col("installments")],
-        "ticket_ratio": [F.col("period"), F.col("category"), F.col("installments")],
-        "rank": [F.desc("amount"), F.col("aggregator")],
-        "prov_cat_share": [F.desc("share"), F.col("province"), F.col("bucket")],
-        "prov_in_cat": [F.desc("share"), F.col("category"), F.col("province")],
-        "merchants_prov": [F.col("period"), F.desc("merchants"), F.col("province")],
-        "registry_rows": [F.desc("registry_rows"), F.col("merchant_id")],
-        "registry_locality": [F.col("province"), F.col("locality")],
-    }.get(short, [])
+    columns = []
+    for item in ORDERS.get(name, ORDERS.get(short, [])):
+        if item.startswith("@"):
+            columns += other_last(*item[1:].split(":"))
+        elif item.startswith("-"):
+            columns.append(F.desc(item[1:]))
+        else:
+            columns.append(F.col(item))
+    return columns

@@ -35,7 +35,7 @@ def null_rows(ws: Workspace) -> DataFrame:
 
 def null_rows_count(ws: Workspace) -> DataFrame:
     frames = {"payments": ws.table("payments"), "platform_sales": ws.learning_raw,
-              "platform_channel": ws.platform_base, "final_base": ws.final_base}
+              "platform_channel": ws.platform_rows, "final_base": ws.final_base}
     return checks.check_table({n: clean.incomplete_rows(df) for n, df in frames.items()})
 
 

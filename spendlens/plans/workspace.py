@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.operators.allocate import allocate, final_base, reassign_merchants, residual_totals
 from spendlens.operators.clean import (
     clean_payments, fill_missing_plan, keep_reported, remap_category)
+from spendlens.operators.metrics import sums
 from spendlens.operators.prices import base_month, deflate, deflator
 from spendlens.operators.weights import (
     backcast_weights, category_weights, early_weights, join_weights, pooled_weights)
@@ -20,8 +22,9 @@ from spendlens.sources.staging import Stage
 class Workspace:
     """One run over one snapshot of the inputs.
 
-    Three derived tables are written (weights, final base, deflator) because many reports read
-    them; everything else is a lazy DataFrame.
+    Derived tables that many reports read are written once: weights, allocated rows, final base,
+    deflator and the three report cubes. All are bounded by months and dimensions. Whatever grows
+    with merchants stays a lazy DataFrame.
     """
 
     def __init__(self, spark: SparkSession, inputs, params: Params, stage: Stage | None = None):
@@ -55,7 +58,7 @@ class Workspace:
 
     @cached_property
     def weights_observed(self) -> DataFrame:
-        return category_weights(self.learning)
+        return self.stage.table("weights_observed", lambda: category_weights(self.learning))
 
     @cached_property
     def weights_early(self) -> DataFrame:
@@ -71,6 +74,10 @@ class Workspace:
         return self.stage.table("platform_weights", lambda: join_weights(
             self.weights_observed, self.weights_past, self.params.actual_from))
 
+    @cached_property
+    def market_weights(self) -> DataFrame:
+        return pooled_weights(self.weights)
+
     # --- final base ------------------------------------------------------------------------
 
     @cached_property
@@ -83,7 +90,7 @@ class Workspace:
 
     @cached_property
     def allocated(self) -> DataFrame:
-        return allocate(self.residual, self.weights)
+        return self.stage.table("allocated", lambda: allocate(self.residual, self.weights))
 
     @cached_property
     def final_base(self) -> DataFrame:
@@ -91,34 +98,32 @@ class Workspace:
             self.clean, self.allocated, self.params.residual_categories,
             self.params.allocated_brand))
 
-    # --- bases of the reports --------------------------------------------------------------
-
-    @cached_property
-    def base_month(self) -> Column:
-        return base_month(self.params.base_month)
+    # --- cubes of the reports --------------------------------------------------------------
 
     @cached_property
     def deflator(self) -> DataFrame:
         return self.stage.table("deflator", lambda: deflator(
-            self.table("price_index"), self.base_month))
+            self.table("price_index"), base_month(self.params.base_month)))
 
-    @cached_property
-    def base_nominal(self) -> DataFrame:
-        """Final base with merged categories."""
-        return remap_category(self.final_base, self.params.merges)
+    def _cube(self, name: str, rows: Callable[[], DataFrame], *dimensions: str) -> DataFrame:
+        """Rows with nominal and real amounts, summed by month, province, category and plan.
+
+        The size is bounded by the dimensions. Reports read it by column, so those without real
+        amounts do not read them.
+        """
+        return self.stage.table(name, lambda: sums(
+            deflate(rows(), self.deflator),
+            ["period", *dimensions, "province", "category", "installments"],
+            "amount", "amount_real", "operations"))
 
     @cached_property
     def base(self) -> DataFrame:
-        return deflate(self.base_nominal, self.deflator)
-
-    def _channel(self, sales: DataFrame) -> DataFrame:
-        kept = keep_reported(sales, self.params.cutoff, self.params.plans)
-        named = remap_category(remap_category(kept, self.params.merges), self.params.synonyms)
-        return deflate(named, self.deflator)
+        """Cube of the final base, categories merged."""
+        return self._cube("base_cube", lambda: remap_category(self.final_base, self.params.merges))
 
     @cached_property
-    def platform_base(self) -> DataFrame:
-        return self._channel(self.table("platform_sales"))
+    def platform_rows(self) -> DataFrame:
+        return keep_reported(self.table("platform_sales"), self.params.cutoff, self.params.plans)
 
     @cached_property
     def other_aggregators(self) -> DataFrame:
@@ -126,16 +131,28 @@ class Workspace:
             F.col("aggregator") != self.params.dominant_aggregator)
 
     @cached_property
-    def aggregator_base(self) -> DataFrame:
-        return self._channel(self.other_aggregators)
+    def aggregator_rows(self) -> DataFrame:
+        return keep_reported(self.other_aggregators, self.params.cutoff, self.params.plans)
+
+    def _channel_names(self, rows: DataFrame) -> DataFrame:
+        return remap_category(remap_category(rows, self.params.merges), self.params.synonyms)
 
     @cached_property
-    def market_weights(self) -> DataFrame:
-        return pooled_weights(self.weights)
+    def platform_base(self) -> DataFrame:
+        return self._cube("platform_cube", lambda: self._channel_names(self.platform_rows),
+                          "platform")
+
+    @cached_property
+    def aggregator_base(self) -> DataFrame:
+        return self._cube("aggregator_cube", lambda: self._channel_names(self.aggregator_rows),
+                          "aggregator")
+
+    # --- merchants -------------------------------------------------------------------------
 
     @cached_property
     def merchant_base(self) -> DataFrame:
-        """Merchant sales after reassignment and merging of categories."""
+        """Merchant sales after reassignment and merging of categories; as large as the input,
+        so it stays lazy and each report prunes it."""
         p = self.params
         return remap_category(
             reassign_merchants(self.table("merchant_sales"), self.table("merchant_registry"),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlens.functions.exprs import month_from, month_of
 from spendlens.schemas import HEADERS, INPUTS
+from spendlens.sources.staging import Stage
 
 
 def english_names(df: DataFrame) -> DataFrame:
@@ -24,8 +25,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             named = named.withColumn("period", month_of(F.col("period")))
         else:
             named = named.withColumn("period", month_from(
-                F.col("year").cast("int"), F.col("month").cast("int")))
-    return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+                F.col("year").cast("double").cast("int"), F.col("month").cast("double").cast("int")))
+    return named.select(*[_typed(named, f).alias(f.name) for f in schema])
+
+
+def _typed(df: DataFrame, field: T.StructField) -> Column:
+    """Cast to the declared type; whole numbers written as "3.0" or "3e2" are accepted in text."""
+    column = F.col(field.name)
+    whole = isinstance(field.dataType, T.IntegerType | T.LongType)
+    if whole and isinstance(df.schema[field.name].dataType, T.StringType):
+        column = column.cast("decimal(38,6)")
+    return column.cast(field.dataType)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -38,20 +48,31 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
                         for c in raw.columns])
 
 
+def is_csv(path: str) -> bool:
+    return path.rstrip("/").lower().endswith((".csv", ".csv.gz"))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    is_csv = path.rstrip("/").lower().endswith((".csv", ".csv.gz"))
-    return conform(read_csv(spark, path) if is_csv else spark.read.parquet(path), schema)
+    return conform(read_csv(spark, path) if is_csv(path) else spark.read.parquet(path), schema)
 
 
 class FileInputs:
-    """``FileInputs(spark, {"payments": "/data/payments.csv", ...})``."""
+    """``FileInputs(spark, {"payments": "/data/payments.csv", ...})``.
+
+    With a stage, text files are parsed once and kept as Parquet; Parquet inputs are read in place.
+    """
 
-    def __init__(self, spark: SparkSession, paths: Mapping[str, str]):
+    def __init__(self, spark: SparkSession, paths: Mapping[str, str], stage: Stage | None = None):
         unknown = set(paths) - set(INPUTS)
         if unknown:
             raise ValueError(f"unknown input tables: {sorted(unknown)}")
         self.spark = spark
         self.paths = dict(paths)
+        self.stage = stage
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.paths[name], INPUTS[name])
+        path = self.paths[name]
+        if self.stage is None or not is_csv(path):
+            return read_table(self.spark, path, INPUTS[name])
+        return self.stage.table(f"input_{name}",
+                                lambda: read_table(self.spark, path, INPUTS[name]))

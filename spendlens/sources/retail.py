@@ -7,7 +7,7 @@ and customers are merchants. ``FIXTURES.md`` lists the deliberate defects.
 
 from __future__ import annotations
 
-from itertools import chain
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +56,8 @@ class RetailInputs:
         self.stage = stage
 
     def table(self, name: str) -> DataFrame:
-        return self.stage.table(name, lambda: self._typed(name))
+        sort_within = "period" if name == "merchant_sales" else None
+        return self.stage.table(name, lambda: self._typed(name), sort_within)
 
     def _typed(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")().select(
@@ -75,18 +76,24 @@ class RetailInputs:
             month_of(F.col("o_orderdate")).alias("period"))
 
     def _lines(self) -> DataFrame:
-        """Order lines with category and measures; the joins that follow are on the order key."""
-        plan = F.create_map(*[F.lit(x) for x in chain.from_iterable(PLAN_OF_LINE.items())])
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        paid = (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
+        """Order lines with category and measures; the joins that follow are on the order key.
+
+        Prices and discounts have two decimals: whole cents and percents are exact and cheaper
+        than casting each double to a decimal.
+        """
+        plan = F.lit(LONGEST_PLAN)
+        for line, months in PLAN_OF_LINE.items():
+            plan = F.when(F.col("l_linenumber") == line, months).otherwise(plan)
+        cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
+        percent = F.lit(100) - F.rint(F.col("l_discount") * 100).cast("long")
+        paid = (cents * percent * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
         return (self._raw("lineitem")
                 .join(self._raw("part").select("p_partkey", "p_brand"),
                       F.col("l_partkey") == F.col("p_partkey"))
                 .select("l_orderkey", "l_suppkey",
                         F.col("p_brand").alias("category"),
                         F.col("l_returnflag").alias("platform"),
-                        F.coalesce(F.try_element_at(plan, F.col("l_linenumber")),
-                                   F.lit(LONGEST_PLAN)).alias("installments"),
+                        plan.alias("installments"),
                         F.col("l_quantity").cast("long").alias("operations"),
                         F.when(F.col("l_quantity") == 13, F.lit(0).cast("decimal(18,4)"))
                         .otherwise(paid).alias("amount")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -28,19 +28,21 @@ def split(df: DataFrame, key: str, path: str) -> None:
 
 
 def publish(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
-            order: Mapping[str, Sequence[Column | str]] | None = None,
-            header: bool = True) -> dict[str, str]:
-    """Write each named table to its own folder under ``path``; earlier contents are replaced."""
+            order: Callable[[str], Sequence[Column]] = lambda name: (),
+            headerless: Collection[str] = ()) -> dict[str, str]:
+    """Write each named table to its own folder under ``path``; earlier contents are replaced.
+
+    Rows are sorted here and nowhere else. CSV files carry a header unless listed as headerless.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     targets = {}
     for name, df in tables.items():
-        target = f"{path}/{name}"
-        if order and name in order:
-            df = df.orderBy(*order[name])
-        writer = df.write.mode("overwrite").format(fmt)
+        columns = order(name)
+        sorted_df = df.orderBy(*columns) if columns else df
+        writer = sorted_df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            writer = writer.option("header", header)
-        writer.save(target)
-        targets[name] = target
+            writer = writer.option("header", name not in headerless)
+        targets[name] = f"{path}/{name}"
+        writer.save(targets[name])
     return targets

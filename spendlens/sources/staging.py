@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,10 +42,13 @@ class Stage:
             self._root = f"{shared_folder(self.spark)}/spendlens-{uuid.uuid4().hex}"
         return self._root
 
-    def table(self, name: str, build) -> DataFrame:
+    def table(self, name: str, build: Callable[[], DataFrame],
+              sort_within: str | None = None) -> DataFrame:
+        """``sort_within`` orders each file by a column, without a shuffle, so that a later
+        filter on it skips row groups and pages by their statistics."""
         if name not in self._tables:
             df = build()
             path = f"{self.root}/{name}"
-            df.write.parquet(path)
+            (df.sortWithinPartitions(sort_within) if sort_within else df).write.parquet(path)
             self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[name]
