@@ -44,7 +44,10 @@ def value_at(measure: str, keys: Sequence[str], offset: str) -> Column:
 
 
 def growth(df: DataFrame, keys: Sequence[str], **named: tuple[str, str]) -> DataFrame:
-    """Add growth columns: ``mom=("amount", "mom")``. One row per (period, *keys) expected."""
+    """Add growth columns: ``mom=("amount", "mom")``. One row per (period, *keys) expected.
+
+    Without keys the window has no partition: its input is then one row per month of the series.
+    """
     return df.withColumns({
         name: change(F.col(measure), value_at(measure, keys, offset))
         for name, (measure, offset) in named.items()})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.operators import allocate, checks, clean, weights
+from spendlens.functions.exprs import any_null
+from spendlens.operators import allocate, checks, weights
 from spendlens.plans.weights import category_coverage, missing_plan_months, weights_overlap
 from spendlens.plans.workspace import Workspace
 
@@ -32,27 +33,29 @@ def reconcile(ws: Workspace) -> DataFrame:
 
 def checks_table(ws: Workspace) -> DataFrame:
     """One row per invariant with its number of violations."""
+    any_row = F.lit(True)
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
-    sales = ws.table("merchant_sales").select("period").distinct()
-    months = ws.weights.select("period").distinct()
-    provinces = ws.final_base.select("province").distinct()
-    seen = category_coverage(ws)
-    return checks.check_table({
-        "payments_null_rows": clean.incomplete_rows(ws.table("payments")),
-        "platform_null_rows": clean.incomplete_rows(ws.learning_raw),
-        "base_null_rows": clean.incomplete_rows(ws.final_base),
-        "months_without_plan": missing_plan_months(ws),
-        "several_platforms": single_platform(ws).filter("not single"),
-        "weights_off_one": weights.weight_sums(ws.weights).filter(off_one),
-        "weights_overlap": weights_overlap(ws).filter("overlap"),
-        "residual_without_weight": ws.allocated.filter(F.col("category").isNull()),
-        "amounts_off": reconcile(ws).filter(~F.coalesce("amount_equal", F.lit(False))),
-        "category_unlisted": seen.filter("not listed"),
-        "category_unobserved": seen.filter("not observed"),
-        "merchant_months_without_weight": sales.join(months, "period", "left_anti"),
-        "province_without_population": provinces.join(
-            ws.table("population"), "province", "left_anti"),
-    })
+    payments, learning, base = ws.table("payments"), ws.learning_raw, ws.final_base
+    merchant_months = ws.table("merchant_sales").select("period").distinct()
+    provinces = base.select("province").distinct()
+    return checks.check_table([
+        checks.violations(payments, payments_null_rows=any_null(payments.columns)),
+        checks.violations(learning, platform_null_rows=any_null(learning.columns)),
+        checks.violations(base, base_null_rows=any_null(base.columns)),
+        checks.violations(missing_plan_months(ws), months_without_plan=any_row),
+        checks.violations(single_platform(ws), several_platforms=~F.col("single")),
+        checks.violations(weights.weight_sums(ws.weights), weights_off_one=off_one),
+        checks.violations(weights_overlap(ws), weights_overlap=F.col("overlap")),
+        checks.violations(ws.allocated, residual_without_weight=F.col("category").isNull()),
+        checks.violations(reconcile(ws),
+                          amounts_off=~F.coalesce("amount_equal", F.lit(False))),
+        checks.violations(category_coverage(ws), category_unlisted=~F.col("listed"),
+                          category_unobserved=~F.col("observed")),
+        checks.violations(merchant_months.join(ws.weights.select("period").distinct(), "period", "left_anti"),
+                          merchant_months_without_weight=any_row),
+        checks.violations(provinces.join(ws.table("population"), "province", "left_anti"),
+                          province_without_population=any_row),
+    ])
 
 
 TABLES = {

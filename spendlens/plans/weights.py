@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day
+from spendlens.functions.exprs import any_null, day
 from spendlens.operators import checks, clean, weights
 from spendlens.operators.metrics import sums
 from spendlens.plans.workspace import Workspace
@@ -36,7 +36,8 @@ def null_rows(ws: Workspace) -> DataFrame:
 def null_rows_count(ws: Workspace) -> DataFrame:
     frames = {"payments": ws.table("payments"), "platform_sales": ws.learning_raw,
               "platform_channel": ws.platform_rows, "final_base": ws.final_base}
-    return checks.check_table({n: clean.incomplete_rows(df) for n, df in frames.items()})
+    return checks.check_table([
+        checks.violations(df, **{name: any_null(df.columns)}) for name, df in frames.items()])
 
 
 def missing_plan_months(ws: Workspace) -> DataFrame:
