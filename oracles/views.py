@@ -206,6 +206,6 @@ VIEWS = {
         SELECT category, merchant_id, SUM(amount) AS amount, SUM(operations) AS operations
         FROM merchant_base WHERE period >= DATE '2000-01-01' GROUP BY ALL""",
     "merchant_top10": """
-        SELECT * FROM merchant_cat
-        QUALIFY rank() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST) <= 10""",
+        SELECT * FROM merchant_cat WHERE amount IS NOT NULL
+        QUALIFY rank() OVER (PARTITION BY category ORDER BY amount DESC) <= 10""",
 }

@@ -29,11 +29,13 @@ def top_items(df: DataFrame, item: str, measure: str, n: int) -> DataFrame:
 
 def top_per_group(df: DataFrame, group: Sequence[str], item: str, measure: str, n: int,
                   ties: bool = False) -> DataFrame:
-    """Top n rows of each group; ``ties`` keeps every row equal to the n-th.
+    """Top n rows of each group; ``ties`` keeps every row equal to the n-th and drops null measures.
 
     The rank filter becomes a group limit below the shuffle, so a hot group sends at most n rows
     (plus ties) per task.
     """
+    if ties:
+        df = df.filter(F.col(measure).isNotNull())
     order = [F.desc(measure)] if ties else [F.desc(measure), F.col(item)]
     position = F.rank() if ties else F.row_number()
     return (df.withColumn("_position", position.over(Window.partitionBy(*group).orderBy(*order)))

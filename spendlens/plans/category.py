@@ -13,6 +13,7 @@ from spendlens.plans import tables as t
 from spendlens.plans.workspace import Workspace
 
 REST = "Rest"
+MEASURES = ("amount", "operations")
 
 
 def _listed(ws: Workspace) -> DataFrame:
@@ -52,21 +53,24 @@ def merchant_shares(ws: Workspace) -> DataFrame:
     """Leading merchants of each category and one "Rest" row, with shares and legal names.
 
     "Rest" is the category's total less its leaders, so the full list of merchants is reduced to
-    the leaders before any join. A category has a "Rest" row if it has rows outside the leaders.
+    the leaders before any join. Counted along with the sums: a category has a "Rest" row if it
+    has rows outside the leaders, and a null sum if none of them has a value.
     """
-    measures = ("amount", "operations", "rows")
     recent = (ws.merchant_base.filter(F.col("period") >= day(ws.params.accumulate_from))
-              .withColumn("rows", F.lit(1).cast("long")))
-    by_merchant = sums(recent, ["category", "merchant_id"], *measures)
+              .withColumns({"rows": F.lit(1).cast("long"),
+                            **{f"{m}_known": F.col(m).isNotNull().cast("long") for m in MEASURES}}))
+    counted = [*MEASURES, "rows", *[f"{m}_known" for m in MEASURES]]
     leaders = ws.stage.table("leading_merchants", lambda: top_per_group(
-        by_merchant, ["category"], "merchant_id", "amount", ws.params.top_merchants, ties=True))
-
-    minus = leaders.select("category", *[(-F.col(m)).alias(m) for m in measures])
-    rest = (sums(sums(recent, ["category"], *measures).unionByName(minus), ["category"], *measures)
-            .filter("rows > 0").withColumn("bucket", F.lit(REST))
+        sums(recent, ["category", "merchant_id"], *counted), ["category"], "merchant_id", "amount",
+        ws.params.top_merchants, ties=True))
+
+    minus = leaders.select("category", *[(-F.col(m)).alias(m) for m in counted])
+    rest = (sums(sums(recent, ["category"], *counted).unionByName(minus), ["category"], *counted)
+            .filter("rows > 0")
+            .withColumns({m: F.when(F.col(f"{m}_known") > 0, F.col(m)) for m in MEASURES})
+            .withColumn("bucket", F.lit(REST))
             .withColumn("merchant_id", F.lit(None).cast("long")))
-    buckets = (leaders.withColumn("bucket", F.col("merchant_id").cast("string"))
-               .unionByName(rest).drop("rows"))
+    buckets = leaders.withColumn("bucket", F.col("merchant_id").cast("string")).unionByName(rest)
     shared = shares(buckets, ["category"], share_amount="amount", share_operations="operations")
 
     names = (ws.table("merchant_registry")

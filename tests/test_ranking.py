@@ -95,3 +95,8 @@ def test_violations_are_counted_in_one_pass(frame):
     df = frame("x int", (1,), (2,), (None,))
     out = checks.violations(df, odd=F.col("x") % 2 == 1, missing=F.col("x").isNull())
     assert rows(out) == [("missing", 1), ("odd", 1)]
+
+
+def test_null_measures_never_lead_a_group(frame):
+    df = frame("g string, item string, x int", ("g", "a", None), ("g", "b", 1), (None, "c", None))
+    assert rows(ranking.top_per_group(df, ["g"], "item", "x", 10, ties=True), "item") == [("b",)]
