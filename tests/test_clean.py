@@ -66,10 +66,10 @@ def test_rounding_is_half_to_even(frame):
     assert [r[0] for r in df.select(half_even(F.col("x"))).collect()] == [0.0, 2.0, 2.0, 0.0, 0.0]
 
 
-def test_money_rounds_to_four_decimals_half_up(frame):
-    df = frame("x double", (1.00005,), (1.00004,), (None,))
+def test_money_rounds_to_four_decimals_half_away_from_zero(frame):
+    df = frame("x double", (1.00005,), (1.00004,), (-1.00005,), (None,), (7.5e15,), (0.0,))
     assert [None if r[0] is None else str(r[0]) for r in df.select(money(F.col("x"))).collect()] == [
-        "1.0001", "1.0000", None]
+        "1.0001", "1.0000", "-1.0001", None, "7500000000000000.0000", "0.0000"]
 
 
 def test_ratio_by_zero_is_null(frame):
