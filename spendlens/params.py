@@ -44,4 +44,5 @@ class Params:
     top_merchants: int = 10
     listing_rows: int = 1000
     allocated_brand: str = "allocated"
+    operations_top_year: int | None = None  # None: each year is ranked by its own operations
     amount_weight: str = "operations"  # share that splits a merchant's e-commerce amount

@@ -30,7 +30,8 @@ def year_shares(ws: Workspace) -> DataFrame:
 
 
 def operations_year_shares(ws: Workspace) -> DataFrame:
-    return t.category_shares_by_year(ws.base, ws.params, "operations", share="operations")
+    return t.category_shares_by_year(ws.base, ws.params, "operations",
+                                     ws.params.operations_top_year, share="operations")
 
 
 def operations_years_side_by_side(ws: Workspace) -> DataFrame:

@@ -67,8 +67,10 @@ def category_operations(base: DataFrame, params: Params) -> DataFrame:
         latest_month(base))
 
 
-def category_shares_by_year(base: DataFrame, params: Params, rank_by: str, **named: str) -> DataFrame:
-    """Shares of each year's own top categories and "Other".
+def category_shares_by_year(base: DataFrame, params: Params, rank_by: str,
+                            top_year: int | None = None, **named: str) -> DataFrame:
+    """Shares of each year's top categories and "Other"; ``top_year`` applies one year's ranking
+    to all years.
 
     The yearly sums hold one row per year and category, so the bucket is a rank on them and no
     list has to be joined back.
@@ -76,9 +78,13 @@ def category_shares_by_year(base: DataFrame, params: Params, rank_by: str, **nam
     year = F.year("period")
     measures = list(dict.fromkeys([rank_by, *named.values()]))
     yearly = sums(base.filter(year.isin(list(params.years))), [year.alias("year"), "category"], *measures)
-    place = F.row_number().over(Window.partitionBy("year").orderBy(F.desc(rank_by), "category"))
+    ranked = yearly.withColumn("_place", F.row_number().over(
+        Window.partitionBy("year").orderBy(F.desc(rank_by), "category")))
+    if top_year is not None:
+        ranked = ranked.withColumn("_place", F.max(
+            F.when(F.col("year") == top_year, F.col("_place"))).over(Window.partitionBy("category")))
     bucket = F.when(F.col("_place") <= params.top_categories, F.col("category")).otherwise(OTHER)
-    lumped = yearly.withColumn("_place", place).groupBy("year", bucket.alias("bucket")).agg(
+    lumped = ranked.groupBy("year", bucket.alias("bucket")).agg(
         *[F.sum(m).alias(m) for m in measures])
     return shares(lumped, ["year"], **named).select("year", "bucket", *named)
 

@@ -8,6 +8,7 @@ written files are under ``spark.sql.autoBroadcastJoinThreshold``.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -35,6 +36,7 @@ class Stage:
         self.spark = spark
         self._root: str | None = None
         self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()  # reentrant: a table may be built from others
 
     @property
     def root(self) -> str:
@@ -46,9 +48,11 @@ class Stage:
               sort_within: str | None = None) -> DataFrame:
         """``sort_within`` orders each file by a column, without a shuffle, so that a later
         filter on it skips row groups and pages by their statistics."""
-        if name not in self._tables:
-            df = build()
-            path = f"{self.root}/{name}"
-            (df.sortWithinPartitions(sort_within) if sort_within else df).write.parquet(path)
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self._tables[name]
+        with self._lock:
+            if name not in self._tables:
+                df = build()
+                path = f"{self.root}/{name}"
+                rows = df.sortWithinPartitions(sort_within) if sort_within else df
+                rows.write.mode("overwrite").parquet(path)
+                self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+            return self._tables[name]
