@@ -1,4 +1,4 @@
-"""Batch job: read the inputs, save weights and final base, publish the report bundles.
+"""Batch job: read the inputs, save (or load) weights and final base, publish the report bundles.
 
     spark-submit --conf spark.checkpoint.dir=<shared folder> --py-files spendlens.zip \\
         spendlens/job.py \\
@@ -18,7 +18,7 @@ from spendlens.params import Params
 from spendlens.plans.registry import BUNDLES, HEADERLESS, TABLES, order_of
 from spendlens.plans.workspace import Workspace
 from spendlens.sources.files import FileInputs
-from spendlens.sources.sinks import publish, save
+from spendlens.sources.sinks import publish
 from spendlens.sources.staging import Stage
 
 
@@ -31,16 +31,11 @@ def publish_reports(ws: Workspace, output: str, reports: Sequence[str], fmt: str
     return targets
 
 
-def save_base(ws: Workspace, output: str) -> None:
-    """Save the two tables that later jobs start from."""
-    save(ws.weights, f"{output}/platform_weights")
-    save(ws.final_base, f"{output}/final_base", partition_by="period")
-
-
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Instalment-spending reports")
     parser.add_argument("--input", action="append", required=True, metavar="TABLE=PATH")
     parser.add_argument("--output", required=True)
+    parser.add_argument("--base", help="output of an earlier run whose weights and base to start from")
     parser.add_argument("--reports", nargs="+", choices=list(BUNDLES), default=list(BUNDLES))
     parser.add_argument("--format", choices=("parquet", "csv", "json", "orc"), default="csv")
     parser.add_argument("--cutoff", help="last complete month, for example 2022-08-01")
@@ -55,8 +50,13 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     stage = Stage(spark)
     inputs = FileInputs(spark, dict(item.split("=", 1) for item in args.input), stage)
     ws = Workspace(spark, inputs, replace(Params(), **given), stage)
-    save_base(ws, args.output)
-    return publish_reports(ws, args.output, args.reports, args.format)
+    if args.base:
+        ws.load_base(args.base)
+    else:
+        ws.save_base(args.output)
+    targets = publish_reports(ws, args.output, args.reports, args.format)
+    stage.drop()
+    return targets
 
 
 if __name__ == "__main__":

@@ -16,6 +16,8 @@ from spendlens.operators.prices import base_month, deflate, deflator
 from spendlens.operators.weights import (
     backcast_weights, category_weights, early_weights, join_weights, pooled_weights)
 from spendlens.params import Params
+from spendlens.schemas import FINAL_BASE, PLATFORM_WEIGHTS
+from spendlens.sources.sinks import save
 from spendlens.sources.staging import Stage
 
 
@@ -36,6 +38,20 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return self.inputs.table(name)
 
+    def save_base(self, folder: str) -> None:
+        """Save the two tables that later runs can start from."""
+        save(self.weights, f"{folder}/platform_weights")
+        save(self.final_base, f"{folder}/final_base", partition_by="period")
+
+    def load_base(self, folder: str) -> Workspace:
+        """Start from saved weights and final base; payments and platform sales stay unread
+        unless a table of their own is asked for."""
+        read = self.spark.read
+        self.weights = read.schema(PLATFORM_WEIGHTS).parquet(f"{folder}/platform_weights")
+        self.final_base = read.schema(FINAL_BASE).parquet(f"{folder}/final_base").select(
+            *FINAL_BASE.names)
+        return self
+
     # --- weights ---------------------------------------------------------------------------
 
     @cached_property

@@ -28,6 +28,12 @@ PRICE_INDEX = _struct(period=_DATE, index_level=_DOUBLE)
 POPULATION = _struct(province=_TEXT, region=_TEXT, population=_LONG)
 CATEGORY_LIST = _struct(category=_TEXT)
 
+# Saved intermediates.
+PLATFORM_WEIGHTS = _struct(period=_DATE, platform=_TEXT, category=_TEXT, installments=_INT,
+                           operations=_LONG, amount=T.DecimalType(38, 4),
+                           share_operations=_DOUBLE, share_amount=_DOUBLE)
+FINAL_BASE = PAYMENTS
+
 INPUTS = {
     "payments": PAYMENTS,
     "platform_sales": PLATFORM_SALES,

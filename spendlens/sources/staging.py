@@ -56,3 +56,13 @@ class Stage:
                 rows.write.mode("overwrite").parquet(path)
                 self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
             return self._tables[name]
+
+    def drop(self) -> None:
+        """Delete the tables of this run; their DataFrames must not be used afterwards."""
+        with self._lock:
+            if self._root is not None:
+                context = self.spark.sparkContext
+                path = context._jvm.org.apache.hadoop.fs.Path(self._root)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            self._root = None
+            self._tables.clear()

@@ -139,17 +139,34 @@ def test_reports_from_raw_files_equal_reports_from_tables(spark, raw_files, smal
         assert rows(TABLES[name](ws)) == rows(TABLES[name](expected)), name
 
 
-def test_job_saves_base_and_publishes_bundles(spark, raw_files, tmp_path, monkeypatch):
+def test_job_publishes_bundles_and_a_second_run_starts_from_its_base(
+        spark, raw_files, tmp_path, monkeypatch):
     monkeypatch.setattr(job, "Params", lambda: PARAMS)
     inputs = [a for name, path in raw_files.items() for a in ("--input", f"{name}={path}")]
-    targets = job.main([*inputs, "--output", str(tmp_path), "--reports", "monthly", "aggregator",
-                        "--cutoff", "2001-06-01", "--format", "parquet"])
-    assert len(targets) == 29
-    latest = spark.read.parquet(targets["plan_share_cmp"]).agg(F.max("period")).first()[0]
+    first, second = f"{tmp_path}/first", f"{tmp_path}/second"
+    common = ["--cutoff", "2001-06-01", "--format", "parquet", "--reports"]
+    targets = job.main([*inputs, "--output", first, *common, "province", "since"])
+    assert len(targets) == 9
+    assert Path(first, "final_base", "period=2001-06-01").is_dir()
+    latest = spark.read.parquet(targets["prov_share_amount"]).agg(F.max("period")).first()[0]
     assert latest == date(2001, 6, 1)
-    base = spark.read.parquet(f"{tmp_path}/final_base")
-    assert base.filter("period = date'2001-06-01'").count() > 0
-    assert Path(tmp_path, "final_base", "period=2001-06-01").is_dir()
+
+    # Without payments the base cannot be built again: it has to be the saved one.
+    others = [a for name, path in raw_files.items() if name != "payments"
+              for a in ("--input", f"{name}={path}")]
+    again = job.main([*others, "--output", second, "--base", first, *common, "since"])
+    assert rows(spark.read.parquet(again["cat_share_since"])) == rows(
+        spark.read.parquet(targets["cat_share_since"]))
+
+
+def test_dropping_a_stage_deletes_its_tables(spark):
+    stage = Stage(spark)
+    stage.table("t", lambda: spark.range(3))
+    root = Path(stage.root)
+    assert root.is_dir()
+    stage.drop()
+    assert not root.exists()
+    assert stage.table("t", lambda: spark.range(4)).count() == 4
 
 
 def test_default_parameters_are_the_programme_values():
