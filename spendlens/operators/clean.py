@@ -38,14 +38,17 @@ def missing_plan_months(df: DataFrame, plan: int, after: str) -> DataFrame:
 
 
 def fill_missing_plan(df: DataFrame, plan: int, after: str,
-                      keys: Sequence[str] = ("platform", "province", "category")) -> DataFrame:
+                      keys: Sequence[str] = ("platform", "province", "category"),
+                      observed: DataFrame | None = None) -> DataFrame:
     """Add one row of amount 1 and one operation per key for each month lacking ``plan``.
 
     The missing months reach every key as one array value (at most one entry per month), so the
-    product is an ``explode`` and not a join.
+    product is an ``explode`` and not a join. Months and keys are looked up in ``observed``, a
+    smaller table with the same combinations, if given.
     """
-    months = missing_plan_months(df, plan, after).agg(F.collect_list("period")).scalar()
-    filler = (df.filter(F.col("period") > day(after))
+    known = df if observed is None else observed
+    months = missing_plan_months(known, plan, after).agg(F.collect_list("period")).scalar()
+    filler = (known.filter(F.col("period") > day(after))
               .select(*keys).distinct()
               .withColumn("period", F.explode(months))
               .withColumn("installments", F.lit(plan))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from spendlens.operators.ranking import other_last
@@ -49,56 +50,55 @@ BUNDLES = {
 }
 HEADERLESS = ("aggregator_rank",)
 
-# Sorting belongs to publishing; queries return unordered tables. A leading "-" is descending, and
-# "@bucket:measure" puts "Other" last within the columns before it.
-ORDERS = {
-    "m_nominal": ["period"],
-    "m_real": ["period"],
-    "m_ops": ["period"],
-    "summary12": ["period"],
-    "deflator": ["period"],
-    "ticket_month": ["period"],
-    "top7_amount": ["-amount", "category"],
-    "top7_ops": ["-operations", "category"],
-    "cat_growth3": ["period", "@bucket:amount"],
-    "cat_growth5": ["period", "@bucket:amount"],
-    "cat_growth5_year": ["period", "@bucket:amount"],
-    "cat_ops": ["period", "@bucket:operations"],
-    "cat_ops_year": ["year", "@bucket:share"],
-    "cat_ops_year_side": ["rank"],
-    "plan_share": ["period", "installments"],
-    "plan_share_cmp": ["period", "installments"],
-    "plan_share_year": ["year", "installments"],
-    "plan_in_cat_last": ["period", "category", "installments"],
-    "ticket": ["period", "category", "installments"],
-    "ticket_ratio": ["period", "category", "installments"],
-    "prov_growth": ["period", "province"],
-    "region_growth": ["period", "region"],
-    "prov_percap": ["period", "province"],
-    "region_percap": ["period", "region"],
-    "prov_main_cat": ["province"],
-    "platform_share": ["period", "platform"],
-    "aggregator_share": ["period", "aggregator", "amount"],
-    "aggregator_rank": ["-amount", "aggregator"],
-    "prov_share_amount": ["period", "province"],
-    "prov_share_ops": ["period", "province"],
-    "prov_cat_share": ["-share", "province", "bucket"],
-    "prov_in_cat": ["-share", "category", "province"],
-    "merchants_prov": ["period", "-merchants", "province"],
-    "registry_rows": ["-registry_rows", "merchant_id"],
-    "registry_locality": ["province", "locality"],
-}
 
 
-def order_of(name: str) -> list:
-    """Sort columns of a published table, or none."""
+def _orders() -> dict[str, list[Column]]:
+    """Sort columns by table; a channel table without an entry uses the one of its short name."""
+    def by(*names: str) -> list[Column]:
+        return [F.col(name) for name in names]
+
+    growth = [F.col("period"), *other_last("bucket", "amount")]
+    return {
+        "m_nominal": by("period"),
+        "m_real": by("period"),
+        "m_ops": by("period"),
+        "summary12": by("period"),
+        "deflator": by("period"),
+        "ticket_month": by("period"),
+        "top7_amount": [F.desc("amount"), F.col("category")],
+        "top7_ops": [F.desc("operations"), F.col("category")],
+        "cat_growth3": growth,
+        "cat_growth5": growth,
+        "cat_growth5_year": growth,
+        "cat_ops": [F.col("period"), *other_last("bucket", "operations")],
+        "cat_ops_year": [F.col("year"), *other_last("bucket", "share")],
+        "cat_ops_year_side": by("rank"),
+        "plan_share": by("period", "installments"),
+        "plan_share_cmp": by("period", "installments"),
+        "plan_share_year": by("year", "installments"),
+        "plan_in_cat_last": by("period", "category", "installments"),
+        "ticket": by("period", "category", "installments"),
+        "ticket_ratio": by("period", "category", "installments"),
+        "prov_growth": by("period", "province"),
+        "region_growth": by("period", "region"),
+        "prov_percap": by("period", "province"),
+        "region_percap": by("period", "region"),
+        "prov_main_cat": by("province"),
+        "platform_share": by("period", "platform"),
+        "aggregator_share": by("period", "aggregator", "amount"),
+        "aggregator_rank": [F.desc("amount"), F.col("aggregator")],
+        "prov_share_amount": by("period", "province"),
+        "prov_share_ops": by("period", "province"),
+        "prov_cat_share": [F.desc("share"), *by("province", "bucket")],
+        "prov_in_cat": [F.desc("share"), *by("category", "province")],
+        "merchants_prov": [F.col("period"), F.desc("merchants"), F.col("province")],
+        "registry_rows": [F.desc("registry_rows"), F.col("merchant_id")],
+        "registry_locality": by("province", "locality"),
+    }
+
+
+def order_of(name: str) -> list[Column]:
+    """Sort columns of a published table, or none: only publishing sorts."""
+    orders = _orders()
     short = name.removeprefix("platform_").removeprefix("aggregator_")
-    columns = []
-    for item in ORDERS.get(name, ORDERS.get(short, [])):
-        if item.startswith("@"):
-            columns += other_last(*item[1:].split(":"))
-        elif item.startswith("-"):
-            columns.append(F.desc(item[1:]))
-        else:
-            columns.append(F.col(item))
-    return columns
+    return orders.get(name, orders.get(short, []))

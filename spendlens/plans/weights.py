@@ -41,7 +41,7 @@ def null_rows_count(ws: Workspace) -> DataFrame:
 
 
 def missing_plan_months(ws: Workspace) -> DataFrame:
-    return clean.missing_plan_months(ws.learning_raw, ws.params.fill_plan, ws.params.fill_after)
+    return clean.missing_plan_months(ws.learning_cells, ws.params.fill_plan, ws.params.fill_after)
 
 
 def filled_platforms(ws: Workspace) -> DataFrame:
@@ -49,7 +49,7 @@ def filled_platforms(ws: Workspace) -> DataFrame:
 
 
 def remapped(ws: Workspace) -> DataFrame:
-    return ws.learning
+    return clean.remap_category(ws.learning_filled, ws.params.synonyms)
 
 
 def by_province_month(ws: Workspace) -> DataFrame:

@@ -24,9 +24,9 @@ from spendlens.sources.staging import Stage
 class Workspace:
     """One run over one snapshot of the inputs.
 
-    Derived tables that many reports read are written once: weights, allocated rows, final base,
-    deflator and the three report cubes. All are bounded by months and dimensions. Whatever grows
-    with merchants stays a lazy DataFrame.
+    Derived tables that many reports read are written once: weights, the cells they are learnt
+    from, allocated rows, deflator and the three report cubes. All are bounded by months and
+    dimensions. Whatever grows with payments or merchants stays a lazy DataFrame.
     """
 
     def __init__(self, spark: SparkSession, inputs, params: Params, stage: Stage | None = None):
@@ -39,9 +39,10 @@ class Workspace:
         return self.inputs.table(name)
 
     def save_base(self, folder: str) -> None:
-        """Save the two tables that later runs can start from."""
+        """Save the two tables that later runs can start from, and go on from the saved copy."""
         save(self.weights, f"{folder}/platform_weights")
         save(self.final_base, f"{folder}/final_base", partition_by="period")
+        self.load_base(folder)
 
     def load_base(self, folder: str) -> Workspace:
         """Start from saved weights and final base; payments and platform sales stay unread
@@ -64,13 +65,26 @@ class Workspace:
     def learning_raw(self) -> DataFrame:
         return keep_reported(self.dominant_sales, self.params.cutoff, self.params.plans)
 
+    @cached_property
+    def learning_cells(self) -> DataFrame:
+        """The learning rows summed over their dimensions: bounded, and read instead of the rows
+        by everything that sums, counts or lists them."""
+        return self.stage.table("learning_cells", lambda: sums(
+            self.learning_raw, ["period", "platform", "province", "category", "installments"],
+            "operations", "amount"))
+
+    def _filled(self, rows: DataFrame) -> DataFrame:
+        return fill_missing_plan(rows, self.params.fill_plan, self.params.fill_after,
+                                 observed=self.learning_cells)
+
     @cached_property
     def learning_filled(self) -> DataFrame:
-        return fill_missing_plan(self.learning_raw, self.params.fill_plan, self.params.fill_after)
+        return self._filled(self.learning_raw)
 
     @cached_property
     def learning(self) -> DataFrame:
-        return remap_category(self.learning_filled, self.params.synonyms)
+        """Cells with filler and merged categories."""
+        return remap_category(self._filled(self.learning_cells), self.params.synonyms)
 
     @cached_property
     def weights_observed(self) -> DataFrame:
@@ -110,9 +124,10 @@ class Workspace:
 
     @cached_property
     def final_base(self) -> DataFrame:
-        return self.stage.table("final_base", lambda: final_base(
-            self.clean, self.allocated, self.params.residual_categories,
-            self.params.allocated_brand))
+        """Not written unless asked: it is a filtered scan of the payments plus the allocated
+        rows, so reading a copy would cost as much."""
+        return final_base(self.clean, self.allocated, self.params.residual_categories,
+                          self.params.allocated_brand)
 
     # --- cubes of the reports --------------------------------------------------------------
 
