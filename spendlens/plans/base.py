@@ -37,7 +37,7 @@ def checks_table(ws: Workspace) -> DataFrame:
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
     payments, learning, base = ws.table("payments"), ws.learning_raw, ws.final_base
     merchant_months = ws.table("merchant_sales").select("period").distinct()
-    provinces = base.select("province").distinct()
+    provinces = ws.base.select("province").distinct()
     return checks.check_table([
         checks.violations(payments, payments_null_rows=any_null(payments.columns)),
         checks.violations(learning, platform_null_rows=any_null(learning.columns)),

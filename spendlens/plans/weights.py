@@ -93,8 +93,9 @@ def weight_series(ws: Workspace) -> DataFrame:
 def weights_overlap(ws: Workspace) -> DataFrame:
     """Months that both the observed and the back-cast part cover: none is right."""
     observed = ws.weights_observed.filter(F.col("period") >= day(ws.params.actual_from))
-    common = observed.select("period").intersect(ws.weights_past.select("period"))
-    return common.agg(F.count(F.lit(1)).alias("months")).withColumn("overlap", F.col("months") > 0)
+    months = checks.coverage(observed, ws.weights_past, "period", ("observed", "past"))
+    return (months.agg(F.count_if(F.col("observed") & F.col("past")).alias("months"))
+            .withColumn("overlap", F.col("months") > 0))
 
 
 TABLES = {
