@@ -136,7 +136,7 @@ def top7_year(measure: str) -> str:
     out = measure if measure == "operations" else f"{d(measure)} AS {measure}"
     return f"""
         SELECT year, category, {out}
-        FROM ({sums('base_nominal', 'year(period) AS year, category', agg, 'year(period) IN (2000, 2001)')})
+        FROM ({sums('base_nominal', 'CAST(year(period) AS INTEGER) AS year, category', agg, 'year(period) IN (2000, 2001)')})
         QUALIFY row_number() OVER (PARTITION BY year ORDER BY {measure} DESC, category) <= 7"""
 
 
@@ -441,12 +441,12 @@ SELECTS = {
     "cat_ops_year": both_years("base_nominal", "operations", OPERATIONS),
     "cat_ops_year_side": years_side_by_side(),
     "plan_share_year": share_table("base", "year, installments", "year", "amount_real", alias="share_real")
-    .replace("FROM base", "FROM (SELECT *, year(period) AS year FROM base WHERE year(period) IN (2000, 2001))"),
+    .replace("FROM base", "FROM (SELECT *, CAST(year(period) AS INTEGER) AS year FROM base WHERE year(period) IN (2000, 2001))"),
     "prov_growth": place_growth("base_nominal", "province"),
     "region_growth": place_growth(
         "(SELECT * FROM base_nominal LEFT JOIN population USING (province))", "region"),
     "prov_year_real": share_table("base", "year, province", "year", "amount_real", alias="share_real")
-    .replace("FROM base", "FROM (SELECT *, year(period) AS year FROM base WHERE year(period) = 2001)"),
+    .replace("FROM base", "FROM (SELECT *, CAST(year(period) AS INTEGER) AS year FROM base WHERE year(period) = 2001)"),
     "pop_total": "SELECT CAST(SUM(population) AS BIGINT) AS population FROM population",
     **channel("", "base"),
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,12 @@ from spendlens.sources.sinks import save
 from spendlens.sources.staging import Stage
 
 
+class Inputs(Protocol):
+    """Gives each table of ``spendlens.schemas.INPUTS`` by name."""
+
+    def table(self, name: str) -> DataFrame: ...
+
+
 class Workspace:
     """One run over one snapshot of the inputs.
 
@@ -29,7 +36,8 @@ class Workspace:
     dimensions. Whatever grows with payments or merchants stays a lazy DataFrame.
     """
 
-    def __init__(self, spark: SparkSession, inputs, params: Params, stage: Stage | None = None):
+    def __init__(self, spark: SparkSession, inputs: Inputs, params: Params,
+                 stage: Stage | None = None):
         self.spark = spark
         self.inputs = inputs
         self.params = params

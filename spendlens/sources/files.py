@@ -69,10 +69,16 @@ class FileInputs:
         self.spark = spark
         self.paths = dict(paths)
         self.stage = stage
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = self.paths[name]
+        if name not in self._tables:
+            self._tables[name] = self._open(self.paths[name], name)
+        return self._tables[name]
+
+    def _open(self, path: str, name: str) -> DataFrame:
+        schema = INPUTS[name]
         if self.stage is None or not is_csv(path):
-            return read_table(self.spark, path, INPUTS[name])
-        return self.stage.table(f"input_{name}",
-                                lambda: read_table(self.spark, path, INPUTS[name]))
+            return read_table(self.spark, path, schema)
+        return self.stage.table(f"input_{name}", lambda: read_table(self.spark, path, schema),
+                                sort_within="period" if "period" in schema.names else None)
