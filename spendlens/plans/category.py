@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day
 from spendlens.operators.allocate import listed_ecommerce, split_by_weights
 from spendlens.operators.metrics import shares, sums, total_shares
 from spendlens.operators.ranking import top_per_group
@@ -40,13 +39,15 @@ def province_shares_in_category(ws: Workspace) -> DataFrame:
 
 
 def merchants_by_category(ws: Workspace) -> DataFrame:
-    return t.since(ws.merchant_base, ["category", "merchant_id"], ws.params.accumulate_from,
-                   "amount", "operations")
+    """Sums of each merchant in each category; written once, as four tables start from it."""
+    return ws.stage.table("merchant_totals", lambda: t.since(
+        ws.merchant_base, ["category", "merchant_id"], ws.params.accumulate_from, *MEASURES))
 
 
 def leading_merchants(ws: Workspace) -> DataFrame:
-    return top_per_group(merchants_by_category(ws), ["category"], "merchant_id", "amount",
-                         ws.params.top_merchants, ties=True)
+    return ws.stage.table("leading_merchants", lambda: top_per_group(
+        merchants_by_category(ws), ["category"], "merchant_id", "amount",
+        ws.params.top_merchants, ties=True))
 
 
 def merchant_shares(ws: Workspace) -> DataFrame:
@@ -54,22 +55,19 @@ def merchant_shares(ws: Workspace) -> DataFrame:
 
     "Rest" is the category's total less its leaders, so the full list of merchants is reduced to
     the leaders before any join. Counted along with the sums: a category has a "Rest" row if it
-    has rows outside the leaders, and a null sum if none of them has a value.
+    has merchants outside the leaders, and a null sum if none of them has a value.
     """
-    recent = (ws.merchant_base.filter(F.col("period") >= day(ws.params.accumulate_from))
-              .withColumns({"rows": F.lit(1).cast("long"),
-                            **{f"{m}_known": F.col(m).isNotNull().cast("long") for m in MEASURES}}))
-    counted = [*MEASURES, "rows", *[f"{m}_known" for m in MEASURES]]
-    leaders = ws.stage.table("leading_merchants", lambda: top_per_group(
-        sums(recent, ["category", "merchant_id"], *counted), ["category"], "merchant_id", "amount",
-        ws.params.top_merchants, ties=True))
-
-    minus = leaders.select("category", *[(-F.col(m)).alias(m) for m in counted])
-    rest = (sums(sums(recent, ["category"], *counted).unionByName(minus), ["category"], *counted)
-            .filter("rows > 0")
-            .withColumns({m: F.when(F.col(f"{m}_known") > 0, F.col(m)) for m in MEASURES})
-            .withColumn("bucket", F.lit(REST))
-            .withColumn("merchant_id", F.lit(None).cast("long")))
+    leaders = leading_merchants(ws)
+    known = {f"{m}_known": F.col(m).isNotNull().cast("long") for m in MEASURES}
+    counted = [*MEASURES, "merchants", *known]
+    every, top = (df.withColumns({"merchants": F.lit(1).cast("long"), **known})
+                  for df in (merchants_by_category(ws), leaders))
+    minus = top.select("category", *[(-F.col(m)).alias(m) for m in counted])
+    rest = (sums(sums(every, ["category"], *counted).unionByName(minus), ["category"], *counted)
+            .filter("merchants > 0")
+            .select("category", F.lit(None).cast("long").alias("merchant_id"),
+                    *[F.when(F.col(f"{m}_known") > 0, F.col(m)).alias(m) for m in MEASURES],
+                    F.lit(REST).alias("bucket")))
     buckets = leaders.withColumn("bucket", F.col("merchant_id").cast("string")).unionByName(rest)
     shared = shares(buckets, ["category"], share_amount="amount", share_operations="operations")
 
@@ -86,9 +84,9 @@ def merchant_shares(ws: Workspace) -> DataFrame:
 
 
 def merchant_count_by_category(ws: Workspace) -> DataFrame:
-    recent = ws.merchant_base.filter(F.col("period") >= day(ws.params.accumulate_from))
-    return recent.groupBy("category").agg(
-        F.count_distinct("merchant_id").alias(f"merchants_since_{ws.params.accumulate_from}"))
+    """Distinct merchants: their totals have one row per category and merchant."""
+    return merchants_by_category(ws).groupBy("category").agg(
+        F.count("merchant_id").alias(f"merchants_since_{ws.params.accumulate_from}"))
 
 
 def category_shares_since(ws: Workspace) -> DataFrame:

@@ -33,7 +33,8 @@ class Workspace:
 
     Derived tables that many reports read are written once: weights, the cells they are learnt
     from, allocated rows, deflator and the three report cubes. All are bounded by months and
-    dimensions. Whatever grows with payments or merchants stays a lazy DataFrame.
+    dimensions. Whatever grows with payments or merchants stays a lazy DataFrame, but for the
+    merchant totals of the category report, which several of its tables start from.
     """
 
     def __init__(self, spark: SparkSession, inputs: Inputs, params: Params,

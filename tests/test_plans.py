@@ -7,6 +7,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from spendlens.operators.ranking import top_per_group
+from spendlens.plans.category import merchants_by_category
 from spendlens.plans.registry import TABLES
 from spendlens.sources.retail import RetailInputs
 from spendlens.sources.staging import Stage
@@ -68,19 +70,21 @@ def test_scan_reads_only_the_needed_columns(ws):
 
 
 def test_group_limits_run_before_the_shuffle(ws):
-    for name in ("prov_top7", "merchant_top10"):
-        text = plan(TABLES[name](ws))
-        assert "WindowGroupLimit" in text, name
-        assert re.search(r"WindowGroupLimit .*Partial", text), name
+    merchants = top_per_group(merchants_by_category(ws), ["category"], "merchant_id", "amount", 10,
+                              ties=True)
+    for df in (TABLES["prov_top7"](ws), merchants):
+        assert re.search(r"WindowGroupLimit .*Partial", plan(df))
 
 
 def test_global_top_is_a_bounded_take(ws):
     assert "TakeOrderedAndProject" in plan(TABLES["top7_amount"](ws))
 
 
-def test_merchant_shares_limit_merchants_before_joining(ws):
-    """No window and no join sees the whole merchant list of a category."""
+def test_only_leading_merchants_meet_the_registry(ws):
+    """The written list of leaders is on one side of the joins; no join reads all merchants."""
     text = plan(TABLES["merchant_share"](ws))
+    for join in re.findall(r"(?:BroadcastHash|SortMerge|ShuffledHash)Join[^\n]*", text):
+        assert "merchant_id" in join
     assert "leading_merchants" in text
 
 
