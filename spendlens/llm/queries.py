@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlens.llm import exact, simhash
+from pyspark.sql import functions as F
+
+from spendlens.llm import exact, quality, simhash, toxicity
 from spendlens.llm.common import read
+from spendlens.llm.labels import held_out
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,7 +23,22 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
                         "component_id")
 
 
+def _predicted(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return _predicted(quality.score(docs, quality.train(docs, labels)), quality.THRESHOLD)
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return _predicted(toxicity.toxicity(docs, labels), toxicity.THRESHOLD)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op5_simhash)}
+    f.__name__: f for f in (op2_exact_dedup, op5_simhash, op6_quality, op10_toxicity)}
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": exact.ORACLE}
