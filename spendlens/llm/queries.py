@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from spendlens.llm import exact, quality, simhash, toxicity
+from spendlens.llm import exact, pages, quality, simhash, tokens, toxicity
 from spendlens.llm.common import read
 from spendlens.llm.labels import held_out
 
@@ -17,6 +17,13 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.count_tokens(read(spark, folder, "documents"),
+                               public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"),
@@ -33,12 +40,17 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _predicted(quality.score(docs, quality.train(docs, labels)), quality.THRESHOLD)
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(read(spark, folder, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     return _predicted(toxicity.toxicity(docs, labels), toxicity.THRESHOLD)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op5_simhash, op6_quality, op10_toxicity)}
+    f.__name__: f for f in (
+        op2_exact_dedup, op4_token_counts, op5_simhash, op6_quality, op7_html_text, op10_toxicity)}
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": exact.ORACLE}
