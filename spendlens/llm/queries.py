@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from spendlens.llm import decontam, exact, pages, quality, simhash, tokens, toxicity
+from spendlens.llm import decontam, exact, mixing, pages, quality, simhash, tokens, toxicity
 from spendlens.llm.common import read
 from spendlens.llm.labels import held_out
 
@@ -48,6 +48,10 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     return _predicted(toxicity.toxicity(docs, labels), toxicity.THRESHOLD)
@@ -56,6 +60,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_exact_dedup, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
-        op8_decontamination, op10_toxicity)}
+        op8_decontamination, op9_mixing, op10_toxicity)}
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op8_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": exact.ORACLE, "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE}
