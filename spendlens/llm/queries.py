@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from spendlens.llm import decontam, exact, mixing, pages, quality, simhash, tokens, toxicity
+from spendlens.llm import decontam, exact, licenses, mixing, pages, quality, simhash, tokens, toxicity
 from spendlens.llm.common import read
 from spendlens.llm.labels import held_out
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read(spark, folder, "documents"), licenses.corpus_path())
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, folder, "documents"))
 
@@ -59,8 +63,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_exact_dedup, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
+        op1_licenses, op2_exact_dedup, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
         op8_decontamination, op9_mixing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
+    "op1_licenses": licenses.ORACLE,
     "op2_exact_dedup": exact.ORACLE, "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE}

@@ -26,6 +26,7 @@ from spendlens.llm.common import id_and_text, staged
 
 MAX_PIECES = 500_000  # distinct pre-tokens of a block, at most, but for those of its last part
 MAX_DOCS = 20_000  # documents of a block, at most
+BLOCK_BITS, PLACE_BITS = 16, 20  # of the blocks of a task, and of the places of a block
 PART = 1_000_000  # characters of a text from which its pre-tokens are taken in parts
 # characters whose classes have not changed between Unicode versions: Latin, Greek, Cyrillic, dashes,
 # quotation marks and currency signs
@@ -78,6 +79,18 @@ def pre_tokens(text: str, pattern: regex.Pattern, path: str) -> Iterator[Counter
         yield part
 
 
+def packed(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rising ids and their counts in few bytes: steps and counts by byte planes, compressed."""
+    values = np.concatenate([np.diff(ids, prepend=0), counts]).astype("<i4")
+    return pa.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+    return np.cumsum(values[:n]), values[n:]
+
+
 class _Block:
     """Rows that share a dictionary of pre-tokens."""
 
@@ -98,35 +111,36 @@ class _Block:
         place = np.empty(len(pieces), dtype=np.int32)
         for at, piece in enumerate(pieces):
             place[self.local[piece]] = at
-        none, ints = [None], pa.list_(pa.int32())
-        fields = ("block", "row", "doc_id", "n_bytes", "known", "ids", "counts", "pieces")
-        number = self.number
-        yield pa.RecordBatch.from_arrays([
-            pa.array([number], pa.int64()), pa.array(none, pa.int64()), pa.array(none, kind),
-            pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, ints),
-            pa.array(none, ints), pa.array([pieces], pa.list_(pa.string()))], fields)
+        nothing = [None]
+        fields = ("block", "row", "doc_id", "n_bytes", "known", "n", "data", "pieces")
+        kinds = (pa.int64(), pa.int64(), kind, pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([self.number], pa.int64()), *(pa.array(nothing, k) for k in kinds[1:]),
+             pa.array([pieces], pa.list_(pa.string()))], fields)
         for at in range(0, len(self.rows), 1000):
-            rows = self.rows[at:at + 1000]
-            row, doc_id, size, known, ids, counts = zip(*rows)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([number] * len(rows), pa.int64()), pa.array(row, pa.int64()), pa.array(doc_id, kind),
-                pa.array(size, pa.int64()), pa.array(known, pa.int64()),
-                pa.array([place[i] for i in ids], ints), pa.array(counts, ints),
-                pa.array([None] * len(rows), pa.list_(pa.string()))], fields)
+            rows = []
+            for row, doc_id, size, known, ids, counts in self.rows[at:at + 1000]:
+                places = place[ids] if ids else np.zeros(0, np.int32)
+                order = np.argsort(places)
+                data = packed(places[order], np.array(counts, np.int32)[order])
+                rows.append((self.number, row, doc_id, size, known, len(ids), data))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, k) for c, k in zip(zip(*rows), kinds)),
+                 pa.array(nothing * len(rows), pa.list_(pa.string()))], fields)
 
 
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
     """Per block one row with its distinct pre-tokens, and one row for each document of the block.
 
-    A document's row holds places in the block's dictionary and frequencies. Pre-tokens that are one
+    A document's row holds places in the block's dictionary and frequencies, packed. Pre-tokens that are one
     piece are summed up in ``known``; special strings count as one token each, and split the text.
     """
     kind = pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else pa.string()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern, special, single = _rules(path)
-        first = TaskContext.get().partitionId() << 32
-        block, row = _Block(first), first
+        part_id = TaskContext.get().partitionId()
+        block, row = _Block(part_id << BLOCK_BITS), part_id << 32
         for part in parts:
             for doc_id, value in zip(part.column(0), part.column(1)):
                 text, size, known = value.as_py(), value.as_buffer().size if value.is_valid else 0, 0
@@ -149,8 +163,8 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
 
     name = "long" if kind == pa.int64() else "string"
     return docs.mapInArrow(
-        batches, f"block long, row long, doc_id {name}, n_bytes long, known long, ids array<int>, "
-                 "counts array<int>, pieces array<string>")
+        batches, f"block long, row long, doc_id {name}, n_bytes long, known long, n int, "
+                 "data binary, pieces array<string>")
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id",
@@ -169,24 +183,26 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
         encoded = _library(path).encode_batch(pieces.tolist(), add_special_tokens=False)
         return pd.Series([len(e) for e in encoded])
 
-    entries = (found.filter("pieces IS NOT NULL")
-               .select("block", F.posexplode("pieces").alias("place", "piece")))
-    counted = entries.select("piece").distinct().withColumn("n", pieces_of("piece"))
-    tables = (entries.join(counted, "piece").groupBy(F.col("block").alias("of_block"))
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "n"))), lambda x: x["n"])
-                   .alias("n")))
+    places = found.filter("pieces IS NOT NULL").select("block", F.posexplode("pieces").alias("place", "piece"))
+    entries = places.select(F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col("place").cast("long")).alias("entry"),
+                            "piece")
+    counted = entries.select("piece").distinct().withColumn("pieces", pieces_of("piece"))
+    tables = (entries.join(counted, "piece")
+              .groupBy(F.shiftright("entry", PLACE_BITS).alias("of_block"))
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("entry", "pieces"))), lambda x: x["pieces"])
+                   .alias("pieces")))
 
     def summed(rows: pa.Table, table: pa.Table) -> pa.Table:
-        n = table.column("n").combine_chunks().values.to_numpy() if len(table) else np.zeros(0, int)
-        ids, counts = (rows.column(c).combine_chunks() for c in ("ids", "counts"))
-        products = n[ids.flatten().to_numpy()].astype(np.int64) * counts.flatten().to_numpy()
-        ends = np.concatenate([[0], np.cumsum(products)])[ids.offsets.to_numpy() - ids.offsets[0].as_py()]
-        total = np.diff(ends) + rows.column("known").to_numpy()
-        return pa.table([rows.column("row"), rows.column("doc_id"), rows.column("n_bytes"), pa.array(total)],
-                        names=["row", "doc_id", "n_bytes", "n_tokens"])
+        pieces = table.column("pieces").combine_chunks().values.to_numpy() if len(table) else np.zeros(0, np.int32)
+        totals = []
+        for n, data, known in zip(*(rows.column(c).to_pylist() for c in ("n", "data", "known"))):
+            ids, counts = unpacked(data, n)
+            totals.append(known + int(pieces[ids] @ counts.astype(np.int64)))
+        return pa.table([rows.column("row"), rows.column("doc_id"), rows.column("n_bytes"),
+                         pa.array(totals, pa.int64())], names=["row", "doc_id", "n_bytes", "n_tokens"])
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    rows = found.filter("pieces IS NULL").select("block", "row", "doc_id", "n_bytes", "known", "ids", "counts")
+    rows = found.filter("pieces IS NULL").select("block", "row", "doc_id", "n_bytes", "known", "n", "data")
     totals = (rows.groupBy("block").cogroup(tables.groupBy("of_block"))
               .applyInArrow(summed, f"row long, doc_id {kind}, n_bytes long, n_tokens long")
               .groupBy("row", "doc_id").agg(F.sum("n_bytes").alias("n_bytes"),
