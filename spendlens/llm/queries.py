@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from spendlens.llm import decontam, exact, licenses, mixing, pages, quality, simhash, tokens, toxicity
+from spendlens.llm import decontam, exact, licenses, mixing, pages, quality, quotes, simhash, tokens, toxicity
 from spendlens.llm.common import read
 from spendlens.llm.labels import held_out
 
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op3_quote_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link_quotes(quotes.as_mail(read(spark, folder, "conversations")))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,9 +67,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_licenses, op2_exact_dedup, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
+        op1_licenses, op2_exact_dedup, op3_quote_links, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
         op8_decontamination, op9_mixing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_licenses": licenses.ORACLE,
-    "op2_exact_dedup": exact.ORACLE, "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE}
+    "op2_exact_dedup": exact.ORACLE, "op3_quote_links": quotes.ORACLE,
+    "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE}
