@@ -104,8 +104,8 @@ def link_quotes(messages: DataFrame, scope_col: str = "conv_id", order_col: str
     facts = known.alias("k").join(roots.alias("r"), F.col("k.scope").eqNullSafe(F.col("r.scope"))
                                   & (F.col("k.seq") == F.col("r.seq"))).select(
         F.col("k.scope").alias("s"), F.col("k.seq").alias("q"), "parent", "root", "depth", "n_quotes", "n_linked")
-    own_text = F.trim(F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0),
-                                               lambda r: F.trim(r["text"])), "\n"))
+    own_text = F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0),
+                                        lambda r: F.btrim(r["text"], F.lit(" \t\r\n"))), "\n")
     clean = rows.select("scope", "seq", "role", own_text.alias("text"))
     out = clean.join(facts, clean["scope"].eqNullSafe(facts["s"]) & (clean["seq"] == facts["q"]), "left")
     return out.select(
@@ -150,7 +150,7 @@ parents AS (SELECT DISTINCT b.conv_id, b.turn, -best.late AS parent, coalesce(n_
 up AS (SELECT conv_id, turn, turn AS root, 0 AS depth FROM parents WHERE parent IS NULL
     UNION ALL SELECT p.conv_id, p.turn, up.root, up.depth + 1 FROM parents p JOIN up
     ON up.conv_id = p.conv_id AND up.turn = p.parent)
-SELECT b.conv_id, b.turn, role, parent, root, depth, n_quotes, n_linked, trim(own, ' ') AS text,
-    '<|' || coalesce(role, 'user') || '|>' || chr(10) || trim(own, ' ') AS chat
+SELECT b.conv_id, b.turn, role, parent, root, depth, n_quotes, n_linked, trim(own, ' ' || chr(9) || chr(10) || chr(13)) AS text,
+    '<|' || coalesce(role, 'user') || '|>' || chr(10) || trim(own, ' ' || chr(9) || chr(10) || chr(13)) AS chat
 FROM base b JOIN parents USING (conv_id, turn) JOIN up USING (conv_id, turn)
 """
