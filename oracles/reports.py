@@ -345,6 +345,11 @@ CHECKS = [
     f"SELECT 'category_unobserved', COUNT(*) FROM ({COVERAGE}) WHERE NOT observed",
     """SELECT 'merchant_months_without_weight', COUNT(*)
        FROM (SELECT period FROM merchant_sales EXCEPT SELECT period FROM weights_final)""",
+    """SELECT 'months_without_index', COUNT(*)
+       FROM (SELECT period FROM base EXCEPT SELECT period FROM price_index)""",
+    """SELECT 'periods_not_first', COUNT(*) FROM payments WHERE day(period) <> 1""",
+    """SELECT 'residual_amount_lost', CAST(coalesce(round(SUM(amount_total)), 0) AS BIGINT)
+       FROM allocated WHERE category IS NULL""",
     """SELECT 'province_without_population', COUNT(*)
        FROM (SELECT province FROM final_base EXCEPT SELECT province FROM population)""",
 ]
@@ -494,14 +499,12 @@ SELECTS = {
                {over('registry_rows', '(SELECT COUNT(*) FROM merchant_registry)')} AS share
         FROM (SELECT merchant_id, COUNT(*) AS registry_rows FROM merchant_registry GROUP BY merchant_id)""",
     "registry_dups": """
-        SELECT * FROM merchant_registry QUALIFY COUNT(*) OVER (PARTITION BY merchant_id) > 1
-        ORDER BY merchant_id, address, legal_name, province, locality LIMIT 1000""",
+        SELECT * FROM merchant_registry QUALIFY COUNT(*) OVER (PARTITION BY merchant_id) > 1""",
     "registry_locality": """
         SELECT province, locality, COUNT(DISTINCT merchant_id) AS merchants
         FROM merchant_registry GROUP BY ALL""",
     "registry_address": """
-        SELECT DISTINCT merchant_id, province, locality, address FROM merchant_registry
-        ORDER BY province, locality, merchant_id, address LIMIT 1000""",
+        SELECT DISTINCT merchant_id, province, locality, address FROM merchant_registry""",
 
     # --- categories and merchants ----------------------------------------------------------
     "ecom_merchants": "SELECT DISTINCT merchant_id FROM ecom_spend",

@@ -29,37 +29,37 @@ VIEWS = {
                CAST(SUM(operations) AS BIGINT) AS operations, SUM(amount) AS amount
         FROM sales GROUP BY ALL""",
     "platform_sales": """
-        SELECT period, platform, province, category, installments,
+        SELECT period, platform, province, category,
+               CASE WHEN installments = 24 AND month(period) IN (3, 9) AND year(period) >= 1999
+                    THEN 30 ELSE installments END AS installments,
                CAST(SUM(operations) AS BIGINT) AS operations, SUM(amount) AS amount
-        FROM sales
-        WHERE period >= DATE '1996-01-01'
-          AND NOT (installments = 24 AND month(period) IN (3, 9) AND year(period) >= 1999)
-        GROUP BY ALL""",
+        FROM sales GROUP BY ALL""",
     "aggregator_sales": """
         SELECT period, aggregator, province, category, installments,
                CAST(SUM(operations) AS BIGINT) AS operations, SUM(amount) AS amount
         FROM sales GROUP BY ALL""",
     "merchant_sales": """
-        SELECT period, n_name AS province, category, o_custkey AS merchant_id,
+        SELECT period, n_name AS province, category,
+               CASE WHEN c_acctbal < 0 THEN -o_custkey ELSE o_custkey END AS merchant_id,
                CAST(SUM(operations) AS BIGINT) AS operations, SUM(amount) AS amount
         FROM order_lines JOIN order_months ON l_orderkey = o_orderkey
         JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        JOIN customer ON o_custkey = c_custkey
         GROUP BY ALL""",
     "merchant_registry": """
         SELECT DISTINCT c_custkey AS merchant_id, c_name AS legal_name, n_name AS province,
                c_mktsegment AS locality, o_orderpriority AS address
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey
-        WHERE c_acctbal >= 0""",
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey""",
     "price_index": """
         SELECT DISTINCT period,
                CAST(100 + 2 * ((year(period) - 1995) * 12 + month(period) - 1) AS DOUBLE) AS index_level
         FROM order_months""",
     "population": """
-        SELECT n_name AS province, r_name AS region, COUNT(*) AS population
-        FROM customer JOIN places ON c_nationkey = n_nationkey
-        WHERE r_name <> 'MIDDLE EAST' GROUP BY ALL""",
+        SELECT n_name AS province, r_name AS region,
+               CASE WHEN r_name <> 'MIDDLE EAST' THEN COUNT(*) END AS population
+        FROM customer JOIN places ON c_nationkey = n_nationkey GROUP BY n_name, r_name""",
     "category_list": """
-        SELECT DISTINCT p_brand AS category FROM part WHERE p_brand <> 'Brand#7'
+        SELECT DISTINCT p_brand AS category FROM part
         UNION ALL SELECT 'Unlisted'""",
 
     # --- weights ---------------------------------------------------------------------------
@@ -154,23 +154,31 @@ VIEWS = {
         FROM final_base""",
     "base": """
         SELECT b.*, CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
-        FROM base_nominal b LEFT JOIN deflator d ON b.period = d.period""",
+        FROM (SELECT period, province, category, installments, SUM(amount) AS amount,
+                     CAST(SUM(operations) AS BIGINT) AS operations FROM base_nominal GROUP BY ALL) b
+        LEFT JOIN deflator d ON b.period = d.period""",
     "platform_rows": """
         SELECT * FROM platform_sales
         WHERE period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24)""",
     "platform_base": """
-        SELECT s.* REPLACE (CASE WHEN category IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'Appliances'
-                                 WHEN category = 'Brand#23' THEN 'Brand#22' ELSE category END AS category),
-               CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
-        FROM platform_sales s LEFT JOIN deflator d ON s.period = d.period
-        WHERE s.period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24)""",
+        SELECT s.*, CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
+        FROM (SELECT period, platform, province, installments,
+                     CASE WHEN category IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'Appliances'
+                          WHEN category = 'Brand#23' THEN 'Brand#22' ELSE category END AS category,
+                     SUM(amount) AS amount, CAST(SUM(operations) AS BIGINT) AS operations
+              FROM platform_sales
+              WHERE period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24) GROUP BY ALL) s
+        LEFT JOIN deflator d ON s.period = d.period""",
     "other_aggregators": "SELECT * FROM aggregator_sales WHERE aggregator <> 'MACHINERY'",
     "aggregator_base": """
-        SELECT s.* REPLACE (CASE WHEN category IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'Appliances'
-                                 WHEN category = 'Brand#23' THEN 'Brand#22' ELSE category END AS category),
-               CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
-        FROM other_aggregators s LEFT JOIN deflator d ON s.period = d.period
-        WHERE s.period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24)""",
+        SELECT s.*, CAST(CAST(amount AS DOUBLE) / nullif(coef, 0) AS DECIMAL(18,4)) AS amount_real
+        FROM (SELECT period, aggregator, province, installments,
+                     CASE WHEN category IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'Appliances'
+                          WHEN category = 'Brand#23' THEN 'Brand#22' ELSE category END AS category,
+                     SUM(amount) AS amount, CAST(SUM(operations) AS BIGINT) AS operations
+              FROM other_aggregators
+              WHERE period <= DATE '2001-07-01' AND installments IN (3, 6, 12, 18, 24) GROUP BY ALL) s
+        LEFT JOIN deflator d ON s.period = d.period""",
 
     # --- merchants -------------------------------------------------------------------------
     "market_weights": """

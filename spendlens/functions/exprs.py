@@ -61,6 +61,11 @@ def money(value: Column) -> Column:
     return (ten_thousandths * F.lit(Decimal("0.0001"))).cast(AMOUNT)
 
 
+def distinct_count(column: str) -> Column:
+    """Distinct values with null as a value of its own, so that counts agree with listings."""
+    return F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("long")), F.lit(0))
+
+
 def half_even(value: Column) -> Column:
     return F.bround(value)
 

@@ -9,14 +9,16 @@
 from __future__ import annotations
 
 import argparse
+import ast
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import fields, replace
 
 from pyspark.sql import SparkSession
 
 from spendlens.params import Params
-from spendlens.plans.registry import BUNDLES, HEADERLESS, TABLES, order_of
+from spendlens.plans.registry import BUNDLES, FROM_BASE, HEADERLESS, PUBLISHED, TABLES, order_of
 from spendlens.plans.workspace import Workspace
+from spendlens.session import COMMON_CONF
 from spendlens.sources.files import FileInputs
 from spendlens.sources.sinks import publish
 from spendlens.sources.staging import Stage
@@ -27,10 +29,21 @@ def publish_reports(ws: Workspace, output: str, reports: Sequence[str], fmt: str
     targets = {}
     for report in reports:
         tables = {name: TABLES[name](ws) for name in BUNDLES[report]}
-        targets |= publish(tables, f"{output}/{report}", fmt, order_of, HEADERLESS)
+        targets |= publish(tables, f"{output}/{report}", fmt, order_of, HEADERLESS, PUBLISHED)
     return targets
 
 
+def setting(item: str) -> tuple[str, object]:
+    """A field of ``Params`` and its value: a Python literal, or text such as a date."""
+    name, _, text = item.partition("=")
+    if name not in {f.name for f in fields(Params)}:
+        raise ValueError(f"unknown parameter: {name}")
+    try:
+        return name, ast.literal_eval(text)
+    except (SyntaxError, ValueError):
+        return name, text
+
+
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Instalment-spending reports")
     parser.add_argument("--input", action="append", required=True, metavar="TABLE=PATH")
@@ -38,6 +51,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--base", help="output of an earlier run whose weights and base to start from")
     parser.add_argument("--reports", nargs="+", choices=list(BUNDLES), default=list(BUNDLES))
     parser.add_argument("--format", choices=("parquet", "csv", "json", "orc"), default="csv")
+    parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
+                        help="any field of spendlens.params.Params, for example years=(2022,2023)")
     parser.add_argument("--cutoff", help="last complete month, for example 2022-08-01")
     parser.add_argument("--base-month", help="month that real amounts are expressed in")
     return parser.parse_args(argv)
@@ -46,17 +61,21 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     args = arguments(argv)
     spark = SparkSession.builder.appName("spendlens").getOrCreate()
-    given = {k: v for k, v in (("cutoff", args.cutoff), ("base_month", args.base_month)) if v}
+    given = dict(setting(item) for item in args.set)
+    given |= {k: v for k, v in (("cutoff", args.cutoff), ("base_month", args.base_month)) if v}
+    for key, value in COMMON_CONF.items():
+        spark.conf.set(key, value)
     stage = Stage(spark)
     inputs = FileInputs(spark, dict(item.split("=", 1) for item in args.input), stage)
     ws = Workspace(spark, inputs, replace(Params(), **given), stage)
-    if args.base:
-        ws.load_base(args.base)
-    else:
-        ws.save_base(args.output)
-    targets = publish_reports(ws, args.output, args.reports, args.format)
-    stage.drop()
-    return targets
+    try:
+        if args.base:
+            ws.load_base(args.base)
+        elif not FROM_BASE.isdisjoint(args.reports):
+            ws.save_base(args.output)
+        return publish_reports(ws, args.output, args.reports, args.format)
+    finally:
+        stage.drop()
 
 
 if __name__ == "__main__":

@@ -49,10 +49,19 @@ def final_base(clean: DataFrame, allocated: DataFrame, residual: Sequence[str],
     return classified.unionByName(spread)
 
 
+def ecommerce_sums(sales: DataFrame, category: str) -> DataFrame:
+    """E-commerce sales by month, province and merchant.
+
+    Partial sums take up a hot merchant before it meets the registry: at most months times
+    provinces rows of a merchant reach a join.
+    """
+    return sums(sales.filter(F.col("category") == category),
+                ["period", "province", "category", "merchant_id"], "amount", "operations")
+
+
 def listed_ecommerce(sales: DataFrame, registry: DataFrame, category: str) -> DataFrame:
-    """E-commerce rows of merchants the registry knows."""
-    return (sales.filter(F.col("category") == category)
-            .join(registry.select("merchant_id"), "merchant_id", "left_semi"))
+    """E-commerce sums of merchants the registry knows."""
+    return ecommerce_sums(sales, category).join(registry.select("merchant_id"), "merchant_id", "left_semi")
 
 
 def split_by_weights(rows: DataFrame, pooled: DataFrame, amount_weight: str,
@@ -81,13 +90,13 @@ def reassign_merchants(sales: DataFrame, registry: DataFrame, pooled: DataFrame,
                        amount_weight: str) -> DataFrame:
     """Replace the e-commerce rows of listed merchants by their split over categories.
 
-    Only e-commerce rows are shuffled to meet the registry; all others pass from the scan to the
-    union.
+    Only e-commerce sums meet the registry and are fanned out; all other rows pass from the scan to
+    the union.
     """
     others = (sales.filter(not_in(F.col("category"), [category]))
               .select("period", "province", "category", "merchant_id",
                       exact(F.col("amount")).alias("amount"),
                       exact(F.col("operations")).alias("operations")))
     known = registry.select("merchant_id").distinct().withColumn("_listed", F.lit(True))
-    flagged = sales.filter(F.col("category") == category).join(known, "merchant_id", "left")
+    flagged = ecommerce_sums(sales, category).join(known, "merchant_id", "left")
     return others.unionByName(split_by_weights(flagged, pooled, amount_weight, "_listed"))

@@ -58,19 +58,24 @@ def new_keys(df: DataFrame, key: str, month: str) -> DataFrame:
     return presence(df, key, month).filter(F.col("before").isNull())
 
 
-def rows_of_new_keys(df: DataFrame, key: str, month: str) -> DataFrame:
-    """All rows of the keys first seen in ``month``; such keys have no earlier rows to read."""
-    return df.filter(F.col("period") >= day(month)).join(new_keys(df, key, month), key)
+def rows_of_new_keys(df: DataFrame, key: str, month: str, new: DataFrame | None = None) -> DataFrame:
+    """All rows of the keys first seen in ``month``; such keys have no earlier rows to read.
 
+    Give ``new`` as a written copy of ``new_keys`` where a key may be hot: the aggregate itself
+    would share its shuffle with the join, which AQE then cannot split.
+    """
+    keys = new_keys(df, key, month) if new is None else new
+    return df.filter(F.col("period") >= day(month)).join(keys, key)
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs more than once.
 
-    Counts are pre-aggregated and the rows are found by a semi join, which Spark can split for a
-    hot key; a window would hold all rows of that key in one task.
-    """
-    repeated = df.groupBy(key).count().filter("count > 1").select(key)
-    return df.join(repeated, key, "left_semi")
+def repeated(df: DataFrame, key: str) -> DataFrame:
+    """The keys that occur more than once."""
+    return df.groupBy(key).count().filter("count > 1").select(key)
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs more than once; a window would hold all rows of a key in one task."""
+    return df.join(repeated(df, key), key, "left_semi")
 
 
 def violations(df: DataFrame, **conditions: Column) -> DataFrame:

@@ -58,7 +58,10 @@ def fill_missing_plan(df: DataFrame, plan: int, after: str,
 
 
 def distinct_values(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """Distinct values of several text dimensions in one pass: (dimension, value)."""
-    return (df.select(*dimensions)
+    """Distinct values of several text dimensions in one pass: (dimension, value).
+
+    Combinations are made distinct first, so that few rows are unpivoted.
+    """
+    return (df.select(*dimensions).distinct()
             .unpivot([], list(dimensions), "dimension", "value")
             .distinct())

@@ -21,9 +21,11 @@ def base_month(iso: str | None = None, today: date | None = None) -> Column:
 def deflator(index: DataFrame, base: Column) -> DataFrame:
     """index_level, index_rebased (base month = 100), coef, inflation_mom.
 
-    The window has no partition key: the index has one row per month.
+    An index without the base month is an error. The window has no partition key: the index has
+    one row per month.
     """
     level = index.filter(F.col("period") == base).agg(F.max("index_level")).scalar()
+    level = F.coalesce(level, F.raise_error("the price index lacks the base month").cast("double"))
     months = Window.orderBy(month_number(F.col("period")))
     previous = F.max("index_rebased").over(months.rangeBetween(-1, -1))
     return (index.select("period", "index_level", ratio(F.col("index_level"), level).alias("coef"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,18 +52,21 @@ def lump_other(df: DataFrame, top: DataFrame, item: str = "category", *,
     """Add ``bucket``: the item if it is in ``top``, else "Other".
 
     ``bounded`` says that ``top`` ends in a LIMIT, which is the only case with a broadcast hint;
-    otherwise Spark chooses the join from the sizes it measures.
+    otherwise Spark chooses the join from the sizes it measures. A null item in ``top`` is a
+    bucket of its own, as in the yearly tables.
     """
     keys = [*on, item]
-    flags = top.select(*keys).withColumn("_top", F.lit(True))
-    return (df.join(F.broadcast(flags) if bounded else flags, keys, "left")
+    flags = top.select(*[F.col(k).alias(f"_top_{k}") for k in keys]).withColumn("_top", F.lit(True))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_top_{k}")) for k in keys])
+    return (df.join(F.broadcast(flags) if bounded else flags, same, "left")
             .withColumn("bucket", F.when(F.col("_top"), F.col(item)).otherwise(F.lit(OTHER)))
-            .drop("_top"))
+            .drop("_top", *[f"_top_{k}" for k in keys]))
 
 
 def only_items(df: DataFrame, top: DataFrame, item: str = "category") -> DataFrame:
     """Rows of the items in a top-n list that ends in a LIMIT."""
-    return df.join(F.broadcast(top.select(item)), item, "left_semi")
+    kept = F.broadcast(top.select(F.col(item).alias("_kept")))
+    return df.join(kept, F.col(item).eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def comparison_months(latest: Column, with_december: bool) -> list[Column]:

@@ -42,7 +42,7 @@ class Params:
     ratio_plans: tuple[int, int] = (18, 3)
     top_categories: int = 7
     top_merchants: int = 10
-    listing_rows: int = 1000
+    listing_rows: int | None = None  # rows of the registry listings; None: all
     allocated_brand: str = "allocated"
     operations_top_year: int | None = None  # None: each year is ranked by its own operations
     amount_weight: str = "operations"  # share that splits a merchant's e-commerce amount

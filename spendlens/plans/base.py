@@ -32,14 +32,15 @@ def reconcile(ws: Workspace) -> DataFrame:
 
 
 def checks_table(ws: Workspace) -> DataFrame:
-    """One row per invariant with its number of violations."""
+    """One row per invariant with its number of violations; lost spend is an amount."""
     any_row = F.lit(True)
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
     payments, learning, base = ws.table("payments"), ws.learning_raw, ws.final_base
     merchant_months = ws.table("merchant_sales").select("period").distinct()
-    provinces = ws.base.select("province").distinct()
+    provinces, months = (ws.base.select(c).distinct() for c in ("province", "period"))
     return checks.check_table([
-        checks.violations(payments, payments_null_rows=any_null(payments.columns)),
+        checks.violations(payments, payments_null_rows=any_null(payments.columns),
+                          periods_not_first=F.dayofmonth("period") != 1),
         checks.violations(learning, platform_null_rows=any_null(learning.columns)),
         checks.violations(base, base_null_rows=any_null(base.columns)),
         checks.violations(missing_plan_months(ws), months_without_plan=any_row),
@@ -47,6 +48,11 @@ def checks_table(ws: Workspace) -> DataFrame:
         checks.violations(weights.weight_sums(ws.weights), weights_off_one=off_one),
         checks.violations(weights_overlap(ws), weights_overlap=F.col("overlap")),
         checks.violations(ws.allocated, residual_without_weight=F.col("category").isNull()),
+        ws.allocated.filter(F.col("category").isNull()).agg(
+            F.lit("residual_amount_lost").alias("check"),
+            F.coalesce(F.round(F.sum("amount_total")).cast("long"), F.lit(0)).alias("violations")),
+        checks.violations(months.join(ws.table("price_index"), "period", "left_anti"),
+                          months_without_index=any_row),
         checks.violations(reconcile(ws),
                           amounts_off=~F.coalesce("amount_equal", F.lit(False))),
         checks.violations(category_coverage(ws), category_unlisted=~F.col("listed"),

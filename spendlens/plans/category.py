@@ -25,8 +25,7 @@ def ecommerce_merchants(ws: Workspace) -> DataFrame:
 
 
 def ecommerce_spend(ws: Workspace) -> DataFrame:
-    return sums(_listed(ws), ["period", "province", "category", "merchant_id"],
-                "amount", "operations")
+    return _listed(ws).select("period", "province", "category", "merchant_id", "amount", "operations")
 
 
 def ecommerce_reassigned(ws: Workspace) -> DataFrame:
@@ -84,9 +83,9 @@ def merchant_shares(ws: Workspace) -> DataFrame:
 
 
 def merchant_count_by_category(ws: Workspace) -> DataFrame:
-    """Distinct merchants: their totals have one row per category and merchant."""
+    """Distinct merchants, a null one included: their totals have one row per category and merchant."""
     return merchants_by_category(ws).groupBy("category").agg(
-        F.count("merchant_id").alias(f"merchants_since_{ws.params.accumulate_from}"))
+        F.count(F.lit(1)).alias(f"merchants_since_{ws.params.accumulate_from}"))
 
 
 def category_shares_since(ws: Workspace) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day
+from spendlens.functions.exprs import day, distinct_count
 from spendlens.operators import checks
 from spendlens.plans.workspace import Workspace
 
@@ -19,7 +19,7 @@ def merchants_since(ws: Workspace) -> DataFrame:
 
 
 def merchants_since_count(ws: Workspace) -> DataFrame:
-    return _rows_since(ws).agg(F.count_distinct("merchant_id").alias("merchants"))
+    return _rows_since(ws).agg(distinct_count("merchant_id").alias("merchants"))
 
 
 def merchants_presence(ws: Workspace) -> DataFrame:
@@ -35,11 +35,12 @@ def merchants_new_count(ws: Workspace) -> DataFrame:
 
 
 def merchants_new_rows(ws: Workspace) -> DataFrame:
-    return checks.rows_of_new_keys(ws.table("merchant_sales"), "merchant_id", ws.params.new_month)
+    new = ws.stage.table("new_merchants", lambda: merchants_new(ws))
+    return checks.rows_of_new_keys(ws.table("merchant_sales"), "merchant_id", ws.params.new_month, new)
 
 
 def merchants_total(ws: Workspace) -> DataFrame:
-    return ws.table("merchant_sales").agg(F.count_distinct("merchant_id").alias("merchants"))
+    return ws.table("merchant_sales").agg(distinct_count("merchant_id").alias("merchants"))
 
 
 TABLES = {

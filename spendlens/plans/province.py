@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day, ratio
-from spendlens.operators.checks import repeated_keys
+from spendlens.functions.exprs import day, distinct_count, ratio
+from spendlens.operators.checks import repeated
 from spendlens.operators.metrics import shares
 from spendlens.operators.ranking import OTHER, top_per_group
 from spendlens.plans import tables as t
@@ -41,7 +41,7 @@ def plan_shares_in_province(ws: Workspace) -> DataFrame:
 def merchants_by_province(ws: Workspace) -> DataFrame:
     recent = ws.table("merchant_sales").filter(F.col("period") >= day(ws.params.recent_from))
     return recent.groupBy("period", "province").agg(
-        F.count_distinct("merchant_id").alias("merchants"))
+        distinct_count("merchant_id").alias("merchants"))
 
 
 def registry_rows(ws: Workspace) -> DataFrame:
@@ -51,23 +51,31 @@ def registry_rows(ws: Workspace) -> DataFrame:
             .withColumn("share", ratio(F.col("registry_rows"), total)))
 
 
+def _listing(ws: Workspace, rows: DataFrame, *order: str) -> DataFrame:
+    """All rows, or the first ``listing_rows`` of them if a run asks for so few."""
+    return rows if ws.params.listing_rows is None else rows.orderBy(*order).limit(ws.params.listing_rows)
+
+
 def registry_duplicates(ws: Workspace) -> DataFrame:
-    """First rows of the merchants listed more than once; the row limit is the report's own."""
-    return (repeated_keys(ws.table("merchant_registry"), "merchant_id")
-            .orderBy("merchant_id", "address", "legal_name", "province", "locality")
-            .limit(ws.params.listing_rows))
+    """Rows of the merchants listed more than once.
+
+    Their keys are written first: then both sides of the join are plain shuffles, which AQE can
+    split for a merchant with very many rows.
+    """
+    registry = ws.table("merchant_registry")
+    keys = ws.stage.table("repeated_merchants", lambda: repeated(registry, "merchant_id"))
+    return _listing(ws, registry.join(keys, "merchant_id", "left_semi"),
+                    "merchant_id", "address", "legal_name", "province", "locality")
 
 
 def registry_localities(ws: Workspace) -> DataFrame:
     return ws.table("merchant_registry").groupBy("province", "locality").agg(
-        F.count_distinct("merchant_id").alias("merchants"))
+        distinct_count("merchant_id").alias("merchants"))
 
 
 def registry_addresses(ws: Workspace) -> DataFrame:
-    return (ws.table("merchant_registry")
-            .select("merchant_id", "province", "locality", "address").distinct()
-            .orderBy("province", "locality", "merchant_id", "address")
-            .limit(ws.params.listing_rows))
+    rows = ws.table("merchant_registry").select("merchant_id", "province", "locality", "address").distinct()
+    return _listing(ws, rows, "province", "locality", "merchant_id", "address")
 
 
 TABLES = {

@@ -49,7 +49,8 @@ BUNDLES = {
                "weights_final_sum", "residual_weight_sum"),
 }
 HEADERLESS = ("aggregator_rank",)
-
+PUBLISHED = {"aggregator_rank": ["aggregator"]}  # columns that are published, if not all
+FROM_BASE = {"monthly", "province", "category", "since", "checks"}  # bundles that need the final base
 
 
 def _orders() -> dict[str, list[Column]]:
@@ -94,6 +95,18 @@ def _orders() -> dict[str, list[Column]]:
         "merchants_prov": [F.col("period"), F.desc("merchants"), F.col("province")],
         "registry_rows": [F.desc("registry_rows"), F.col("merchant_id")],
         "registry_locality": by("province", "locality"),
+        "registry_dups": by("merchant_id", "address", "legal_name", "province", "locality"),
+        "registry_address": by("province", "locality", "merchant_id", "address"),
+        "merchant_share": [F.col("category"), (F.col("bucket") == "Rest").asc(), F.desc("share_amount"),
+                           F.col("merchant_id")],
+        "merchants_cat": by("category"),
+        "prov_cat_plan": by("province", "category", "installments"),
+        "prov_year_real": by("year", "province"),
+        "cat_share_amount": by("period", "category"),
+        "cat_share_ops": by("period", "category"),
+        "cat_share_since": by("category"),
+        "minor_platform_prov": by("period", "province"),
+        "allocated": by("period", "province", "installments", "category"),
     }
 
 

@@ -9,6 +9,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlens.functions.exprs import day
 from spendlens.operators.allocate import allocate, final_base, reassign_merchants, residual_totals
 from spendlens.operators.clean import (
     clean_payments, fill_missing_plan, keep_reported, remap_category)
@@ -42,7 +43,7 @@ class Workspace:
         self.spark = spark
         self.inputs = inputs
         self.params = params
-        self.stage = stage or Stage(spark)
+        self.stage = (stage or Stage(spark)).scope()
 
     def table(self, name: str) -> DataFrame:
         return self.inputs.table(name)
@@ -51,15 +52,24 @@ class Workspace:
         """Save the two tables that later runs can start from, and go on from the saved copy."""
         save(self.weights, f"{folder}/platform_weights")
         save(self.final_base, f"{folder}/final_base", partition_by="period")
+        cutoff = self.spark.createDataFrame([(self.params.cutoff,)], "cutoff string")
+        save(cutoff.coalesce(1), f"{folder}/base_run")
         self.load_base(folder)
 
     def load_base(self, folder: str) -> Workspace:
         """Start from saved weights and final base; payments and platform sales stay unread
-        unless a table of their own is asked for."""
-        read = self.spark.read
+        unless a table of their own is asked for.
+
+        The cutoff of this run may be earlier than that of the saved base, which is then read up to
+        it, but not later.
+        """
+        read, cutoff = self.spark.read, self.params.cutoff
+        saved = read.schema("cutoff string").parquet(f"{folder}/base_run").first().cutoff
+        if cutoff > saved:
+            raise ValueError(f"the base in {folder} ends with {saved}, before the cutoff {cutoff}")
         self.weights = read.schema(PLATFORM_WEIGHTS).parquet(f"{folder}/platform_weights")
         self.final_base = read.schema(FINAL_BASE).parquet(f"{folder}/final_base").select(
-            *FINAL_BASE.names)
+            *FINAL_BASE.names).filter(F.col("period") <= day(cutoff))
         return self
 
     # --- weights ---------------------------------------------------------------------------
@@ -146,15 +156,16 @@ class Workspace:
             self.table("price_index"), base_month(self.params.base_month)))
 
     def _cube(self, name: str, rows: Callable[[], DataFrame], *dimensions: str) -> DataFrame:
-        """Rows with nominal and real amounts, summed by month, province, category and plan.
+        """Amounts and operations summed by month, province, category and plan, with real amounts.
 
+        The sums are deflated, not the rows: the month is a key, so the result is the same but for the
+        rounding of each row.
         The size is bounded by the dimensions. Reports read it by column, so those without real
         amounts do not read them.
         """
-        return self.stage.table(name, lambda: sums(
-            deflate(rows(), self.deflator),
-            ["period", *dimensions, "province", "category", "installments"],
-            "amount", "amount_real", "operations"))
+        return self.stage.table(name, lambda: deflate(sums(
+            rows(), ["period", *dimensions, "province", "category", "installments"],
+            "amount", "operations"), self.deflator))
 
     @cached_property
     def base(self) -> DataFrame:

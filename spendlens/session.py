@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 COMMON_CONF = {
@@ -33,6 +35,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spendlens-"))
     for key, value in COMMON_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

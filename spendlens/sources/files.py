@@ -18,11 +18,16 @@ def english_names(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rename raw headers, build ``period`` from year and month, cast to the table's schema."""
+    """Rename raw headers, build ``period`` from year and month, cast to the table's schema.
+
+    A DATE ``period`` must hold first days of months. It passes untouched, so that filters on it reach
+    the Parquet scan and prune partitions; the ``checks`` table counts other days.
+    """
     named = english_names(df)
     if "period" in schema.names:
         if "period" in named.columns:
-            named = named.withColumn("period", month_of(F.col("period")))
+            if not isinstance(named.schema["period"].dataType, T.DateType):
+                named = named.withColumn("period", month_of(F.col("period")))
         else:
             named = named.withColumn("period", month_from(
                 F.col("year").cast("double").cast("int"), F.col("month").cast("double").cast("int")))
@@ -68,7 +73,7 @@ class FileInputs:
             raise ValueError(f"unknown input tables: {sorted(unknown)}")
         self.spark = spark
         self.paths = dict(paths)
-        self.stage = stage
+        self.stage = stage.scope() if stage else None
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:

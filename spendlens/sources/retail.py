@@ -53,7 +53,7 @@ class RetailInputs:
     def __init__(self, spark: SparkSession, folder: str, stage: Stage):
         self.spark = spark
         self.folder = folder
-        self.stage = stage
+        self.stage = stage.scope()
 
     def table(self, name: str) -> DataFrame:
         sort_within = "period" if name == "merchant_sales" else None
@@ -119,10 +119,11 @@ class RetailInputs:
                     "operations", "amount")
 
     def _platform_sales(self) -> DataFrame:
+        """Plan 24 is missing in some months: its rows are there as a plan that no report keeps."""
         gap = ((F.col("installments") == 24) & F.month("period").isin(3, 9)
                & (F.year("period") >= 1999))
-        rows = self.cube.filter((F.col("period") >= F.lit("1996-01-01").cast("date")) & ~gap)
-        return sums(rows, ["period", "platform", "province", "category", "installments"],
+        plan = F.when(gap, LONGEST_PLAN).otherwise(F.col("installments"))
+        return sums(self.cube.withColumn("installments", plan), ["period", "platform", "province", "category", "installments"],
                     "operations", "amount")
 
     def _aggregator_sales(self) -> DataFrame:
@@ -133,15 +134,22 @@ class RetailInputs:
         suppliers = (self._raw("supplier").join(self._raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
                      .select("s_suppkey", F.col("n_name").alias("province")))
         rows = (self._lines().join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-                .join(self._orders(), F.col("l_orderkey") == F.col("o_orderkey"))
-                .withColumnRenamed("o_custkey", "merchant_id"))
+                .join(self._merchants(), F.col("l_orderkey") == F.col("o_orderkey")))
         return sums(rows, ["period", "province", "category", "merchant_id"], "operations", "amount")
 
+    def _merchants(self) -> DataFrame:
+        """Orders with their merchant; merchants in debt sell under an id that the registry lacks."""
+        customers = self._raw("customer").select(
+            "c_custkey", F.when(F.col("c_acctbal") < 0, -F.col("c_custkey"))
+            .otherwise(F.col("c_custkey")).alias("merchant_id"))
+        return (self._orders().join(customers, F.col("o_custkey") == F.col("c_custkey"))
+                .select("o_orderkey", "period", "merchant_id"))
+
     def _merchant_registry(self) -> DataFrame:
-        """One row per merchant and address; merchants in debt are not in the registry."""
+        """One row per merchant and address."""
         addresses = (self._raw("orders").select("o_custkey", F.col("o_orderpriority").alias("address"))
                      .distinct())
-        return (self._raw("customer").filter("c_acctbal >= 0")
+        return (self._raw("customer")
                 .join(self._raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
                 .join(addresses, F.col("c_custkey") == F.col("o_custkey"))
                 .select(F.col("c_custkey").alias("merchant_id"), F.col("c_name").alias("legal_name"),
@@ -154,16 +162,15 @@ class RetailInputs:
                 .withColumn("index_level", 100 + 2 * months_since_start))
 
     def _population(self) -> DataFrame:
-        """Customers per nation; one region is missing from the sheet."""
+        """Customers per nation; the sheet has no figures for one region."""
+        count = F.when(F.col("r_name") != "MIDDLE EAST", F.count(F.lit(1)))
         return (self._raw("customer")
-                .join(self._places().filter("r_name <> 'MIDDLE EAST'"),
-                      F.col("c_nationkey") == F.col("n_nationkey"))
-                .groupBy(F.col("n_name").alias("province"), F.col("r_name").alias("region"))
-                .agg(F.count(F.lit(1)).alias("population")))
+                .join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
+                .groupBy("n_name", "r_name").agg(count.alias("population"))
+                .withColumnsRenamed({"n_name": "province", "r_name": "region"}))
 
     def _category_list(self) -> DataFrame:
-        """Brands of the parts, one withheld; one listed name has no sales."""
-        brands = (self._raw("part").select(F.col("p_brand").alias("category"))
-                  .filter("category <> 'Brand#7'"))
+        """Brands of the parts; one more listed name has no sales."""
+        brands = self._raw("part").select(F.col("p_brand").alias("category"))
         unlisted = self.spark.createDataFrame([("Unlisted",)], INPUTS["category_list"])
         return brands.unionByName(unlisted).distinct()

@@ -29,17 +29,21 @@ def split(df: DataFrame, key: str, path: str) -> None:
 
 def publish(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
             order: Callable[[str], Sequence[Column]] = lambda name: (),
-            headerless: Collection[str] = ()) -> dict[str, str]:
+            headerless: Collection[str] = (),
+            columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
     """Write each named table to its own folder under ``path``; earlier contents are replaced.
 
-    Rows are sorted here and nowhere else. CSV files carry a header unless listed as headerless.
+    Rows are sorted here and nowhere else. CSV files carry a header unless listed as headerless;
+    ``columns`` names those that are written of a table, if not all.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     targets = {}
     for name, df in tables.items():
-        columns = order(name)
-        sorted_df = df.orderBy(*columns) if columns else df
+        by = order(name)
+        sorted_df = df.orderBy(*by) if by else df
+        if columns and name in columns:
+            sorted_df = sorted_df.select(*columns[name])
         writer = sorted_df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", name not in headerless)

@@ -7,6 +7,7 @@ written files are under ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 import uuid
@@ -18,11 +19,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named in ``spark.checkpoint.dir``; a temporary one only where driver and executors
+    are one process."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="spendlens-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -32,16 +34,29 @@ def shared_folder(spark: SparkSession) -> str:
 class Stage:
     """Named tables of one run under the shared folder; each is written on first use."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, parent: Stage | None = None):
         self.spark = spark
+        self._parent = parent
         self._root: str | None = None
         self._tables: dict[str, DataFrame] = {}
+        self._scopes: list[Stage] = []
         self._lock = threading.RLock()  # reentrant: a table may be built from others
 
+    def scope(self) -> Stage:
+        """A stage with names of its own in a subfolder of this one, dropped with it.
+
+        Inputs and workspaces each take a scope, so tables of runs with other parameters or paths
+        are never mistaken for one another.
+        """
+        with self._lock:
+            self._scopes.append(Stage(self.spark, self))
+            return self._scopes[-1]
+
     @property
     def root(self) -> str:
         if self._root is None:
-            self._root = f"{shared_folder(self.spark)}/spendlens-{uuid.uuid4().hex}"
+            folder = self._parent.root if self._parent else shared_folder(self.spark)
+            self._root = f"{folder}/spendlens-{uuid.uuid4().hex}"
         return self._root
 
     def table(self, name: str, build: Callable[[], DataFrame],
@@ -60,6 +75,8 @@ class Stage:
     def drop(self) -> None:
         """Delete the tables of this run; their DataFrames must not be used afterwards."""
         with self._lock:
+            for scope in self._scopes:
+                scope.drop()
             if self._root is not None:
                 context = self.spark.sparkContext
                 path = context._jvm.org.apache.hadoop.fs.Path(self._root)

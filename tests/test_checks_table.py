@@ -50,6 +50,9 @@ def test_every_broken_invariant_is_counted(broken):
     found = {r.check: r.violations for r in checks_table(broken).collect()}
     assert found == {
         "payments_null_rows": 1,
+        "periods_not_first": 0,
+        "residual_amount_lost": 10,
+        "months_without_index": 1,           # 2022-02
         "platform_null_rows": 1,
         "base_null_rows": 1,                 # the cell without weights
         "months_without_plan": 1,            # plan 24 in 2022-02

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from spendlens.operators import allocate, checks
 from spendlens.sources.retail import RetailInputs
 from spendlens.sources.staging import Stage
 
@@ -64,3 +65,38 @@ def test_hot_merchant_sums_are_whole(inputs):
     hot = by_merchant.filter("merchant_id = 7").first().n
     assert hot == 2 * LINES // 3 + sum(
         4 for i in range(LINES // 2) if i % 3 and i % 3000 == 7)
+
+
+def joined_rows(df) -> int:
+    """Rows that the joins of an executed plan put out, the largest of them."""
+    plan, most, work = df._jdf.queryExecution().executedPlan(), 0, []
+    work.append(plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan)
+    while work:
+        node = work.pop()
+        if node.nodeName().startswith("SortMergeJoin"):
+            most = max(most, node.metrics().get("numOutputRows").get().value())
+        if "QueryStage" in node.nodeName():
+            work.append(node.plan())
+        children = node.children()
+        work += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_a_hot_merchant_is_summed_before_it_meets_the_registry(inputs):
+    sales = inputs._lines().join(inputs._merchants(), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "period", F.lit("N").alias("province"), F.lit("E").alias("category"), "merchant_id", "amount", "operations")
+    registry = inputs.spark.range(3000).select(F.col("id").alias("merchant_id"))
+    df = allocate.listed_ecommerce(sales.checkpoint(), registry, "E")
+    assert len(df.collect()) == 2000  # one month and province: one row per merchant with sales
+    assert joined_rows(df) == 2000
+
+
+@pytest.mark.parametrize("find", [
+    lambda df, keys: df.join(keys, "merchant_id", "left_semi"),
+    lambda df, keys: checks.rows_of_new_keys(df, "merchant_id", "1997-01-01", keys)])
+def test_rows_of_written_keys_are_split(inputs, tmp_path, find):
+    df = inputs.spark.range(LINES).repartition(8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS merchant_id", "date'1997-01-01' AS period",
+        "repeat(string(id), 8) AS legal_name")
+    inputs.spark.range(LINES).selectExpr("id AS merchant_id").write.parquet(f"{tmp_path}/keys")
+    assert "SortMergeJoin(skew=true)" in final_plan(find(df, inputs.spark.read.parquet(f"{tmp_path}/keys")))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
@@ -11,12 +12,12 @@ import __spark_entry__ as entry_module
 from conftest import rows
 from spendlens import job
 from spendlens.params import Params
-from spendlens.plans.registry import BUNDLES, TABLES, order_of
+from spendlens.plans.registry import BUNDLES, PUBLISHED, TABLES, order_of
 from spendlens.plans.workspace import Workspace
 from spendlens.schemas import INPUTS, MERCHANT_REGISTRY, PAYMENTS
 from spendlens.sources import sinks, staging
 from spendlens.sources.files import FileInputs, read_table
-from spendlens.sources.retail import PARAMS
+from spendlens.sources.retail import PARAMS, RetailInputs
 from spendlens.sources.staging import Stage
 
 
@@ -65,6 +66,8 @@ def test_shared_folder_is_the_configured_one():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_folder(FakeSession("yarn"))
     assert Path(staging.shared_folder(FakeSession("local[2]"))).is_dir()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(FakeSession("local-cluster[2,1,1024]"))
 
 
 def test_stage_writes_once(spark):
@@ -159,6 +162,56 @@ def test_job_publishes_bundles_and_a_second_run_starts_from_its_base(
         spark.read.parquet(targets["cat_share_since"]))
 
 
+def test_two_cutoffs_on_one_stage_are_two_runs(spark, small_dir):
+    stage = Stage(spark)
+    inputs = RetailInputs(spark, small_dir, stage)
+    for cutoff in ("2001-07-01", "2000-06-01"):
+        ws = Workspace(spark, inputs, replace(PARAMS, cutoff=cutoff), stage)
+        assert TABLES["m_nominal"](ws).agg(F.max("period")).first()[0] == date.fromisoformat(cutoff)
+
+
+def test_a_saved_base_is_read_up_to_an_earlier_cutoff_and_refuses_a_later_one(spark, small_dir, tmp_path):
+    def run(cutoff):
+        stage = Stage(spark)
+        return Workspace(spark, RetailInputs(spark, small_dir, stage), replace(PARAMS, cutoff=cutoff), stage)
+
+    run("2000-06-01").save_base(str(tmp_path))
+    earlier = run("1999-12-01").load_base(str(tmp_path))
+    assert earlier.base.agg(F.max("period")).first()[0] == date(1999, 12, 1)
+    with pytest.raises(ValueError, match="2000-06-01"):
+        run("2001-07-01").load_base(str(tmp_path))
+
+
+def test_date_periods_reach_the_scan(spark, tmp_path):
+    path = f"{tmp_path}/sales"
+    spark.sql("SELECT date'2022-01-01' AS period, 'P' AS province, 'a' AS category, 1L AS merchant_id, 1L AS operations, "
+              "CAST(1 AS DECIMAL(28,4)) AS amount").write.parquet(path)
+    df = FileInputs(spark, {"merchant_sales": path}).table("merchant_sales").filter("period >= date'2021-01-01'")
+    assert "GreaterThanOrEqual(period" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merchant_bundle_needs_merchant_sales_alone(spark, raw_files, tmp_path, monkeypatch):
+    monkeypatch.setattr(job, "Params", lambda: PARAMS)
+    targets = job.main(["--input", f"merchant_sales={raw_files['merchant_sales']}", "--output", f"{tmp_path}/out",
+                        "--reports", "merchants", "--format", "parquet"])
+    counted = spark.read.parquet(targets["merchants_since_count"]).first()[0]
+    assert counted == spark.read.parquet(targets["merchants_since"]).count() > 0
+
+
+def test_settings_of_a_run():
+    assert job.setting("years=(2022,2023)") == ("years", (2022, 2023))
+    assert job.setting("new_month=2022-09-01") == ("new_month", "2022-09-01")
+    with pytest.raises(ValueError, match="unknown"):
+        job.setting("yeras=1")
+
+
+def test_published_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "aggregator string, amount double")
+    targets = sinks.publish({"aggregator_rank": df}, str(tmp_path), "csv", order_of, ["aggregator_rank"], PUBLISHED)
+    assert [line for f in sorted(Path(targets["aggregator_rank"]).glob("part-*"))
+            for line in f.read_text().splitlines()] == ["b", "a"]
+
+
 def test_dropping_a_stage_deletes_its_tables(spark):
     stage = Stage(spark)
     stage.table("t", lambda: spark.range(3))
