@@ -390,6 +390,16 @@ SELECTS = {
         null_count("platform_sales", "learning_raw", SALE_KEYS),
         null_count("platform_channel", "platform_rows", SALE_KEYS),
         null_count("final_base", "final_base", PAYMENT_KEYS)]),
+    "all_plans_domain": "SELECT DISTINCT installments FROM platform_sales",
+    "channel_domain": " UNION ALL ".join(
+        f"""SELECT DISTINCT '{channel}' AS extract, '{dimension}' AS dimension, {dimension} AS value
+            FROM {channel}_base""" for channel in ("platform", "aggregator") for dimension in ("category", channel)),
+    "base_domain": " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS dimension, CAST({c} AS VARCHAR) AS value FROM final_base"
+        for c in ("payment_brand", "category", "installments", "period")),
+    "sale_null_rows": f"SELECT {PLATFORM_FACTS} FROM platform_sales WHERE "
+                      + " OR ".join(f"{c} IS NULL" for c in SALE_KEYS),
+    "base_null_rows": f"SELECT {FACTS} FROM final_base WHERE " + " OR ".join(f"{c} IS NULL" for c in PAYMENT_KEYS),
     "missing_plan_months": "SELECT period FROM missing_plan_months",
     "filled_platforms": f"SELECT {PLATFORM_FACTS} FROM filled_platforms",
     "remapped": f"SELECT {PLATFORM_FACTS} FROM learning",

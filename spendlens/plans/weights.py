@@ -29,10 +29,38 @@ def dim_domain(ws: Workspace) -> DataFrame:
         for name, (df, columns) in domains.items()])
 
 
+def all_plans_domain(ws: Workspace) -> DataFrame:
+    """Plans over all platforms."""
+    return ws.table("platform_sales").select("installments").distinct()
+
+
+def channel_domain(ws: Workspace) -> DataFrame:
+    """Distinct values of the text dimensions of the channel reports."""
+    return reduce(DataFrame.unionByName, [
+        clean.distinct_values(cube, ["category", channel]).select(
+            F.lit(channel).alias("extract"), "dimension", "value")
+        for channel, cube in (("platform", ws.platform_base), ("aggregator", ws.aggregator_base))])
+
+
+def base_domain(ws: Workspace) -> DataFrame:
+    """Distinct brands, categories, plans and months of the final base, all as text."""
+    dimensions = ["payment_brand", "category", "installments", "period"]
+    rows = ws.final_base.select(*dimensions).distinct()
+    return clean.distinct_values(rows.select(*[F.col(c).cast("string") for c in dimensions]), dimensions)
+
+
 def null_rows(ws: Workspace) -> DataFrame:
     return clean.incomplete_rows(ws.table("payments"))
 
 
+def sale_null_rows(ws: Workspace) -> DataFrame:
+    return clean.incomplete_rows(ws.table("platform_sales"))
+
+
+def base_null_rows(ws: Workspace) -> DataFrame:
+    return clean.incomplete_rows(ws.final_base)
+
+
 def null_rows_count(ws: Workspace) -> DataFrame:
     frames = {"payments": ws.table("payments"), "platform_sales": ws.learning_raw,
               "platform_channel": ws.platform_rows, "final_base": ws.final_base}
@@ -101,6 +129,11 @@ def weights_overlap(ws: Workspace) -> DataFrame:
 TABLES = {
     "plan_domain": plan_domain,
     "dim_domain": dim_domain,
+    "all_plans_domain": all_plans_domain,
+    "channel_domain": channel_domain,
+    "base_domain": base_domain,
+    "sale_null_rows": sale_null_rows,
+    "base_null_rows": base_null_rows,
     "null_rows": null_rows,
     "null_rows_count": null_rows_count,
     "missing_plan_months": missing_plan_months,
