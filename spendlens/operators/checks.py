@@ -13,24 +13,27 @@ from spendlens.functions.exprs import day
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: float = 0.01,
               names: tuple[str, str] = ("clean", "raw")) -> DataFrame:
-    """Totals of two tables side by side, with equality flags.
+    """Totals of two tables side by side, with equality flags."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, *[F.col(m).alias(f"{m}_{name}") for m in ("amount", "operations")])
+
+    both = side(left, names[0]).unionByName(side(right, names[1]), allowMissingColumns=True)
+    return compare_sums(both, keys, tolerance, names)
+
+
+def compare_sums(rows: DataFrame, keys: Sequence[str], tolerance: float = 0.01,
+                 names: tuple[str, str] = ("clean", "raw")) -> DataFrame:
+    """Sums of the measures of two sides, which are columns of the same rows, with equality flags.
 
     Amounts are equal up to ``tolerance`` for the rounding of their parts, plus double precision.
-    Union and one aggregation instead of two aggregations and a full join: one shuffle, and a key
-    that only one side has shows nulls on the other.
+    One aggregation instead of two and a full join: one shuffle, and a key that only one side has
+    shows nulls on the other.
     """
     a, b = names
-    columns = [*keys, "amount", "operations"]
-    both = (left.select(*columns, F.lit(a).alias("_side"))
-            .unionByName(right.select(*columns, F.lit(b).alias("_side"))))
-
-    def side(measure: str, name: str) -> Column:
-        return F.sum(F.when(F.col("_side") == name, F.col(measure))).alias(f"{measure}_{name}")
-
     amounts = (F.col(f"amount_{a}") - F.col(f"amount_{b}")).cast("double")
     allowed = F.lit(tolerance) + F.abs(F.col(f"amount_{b}").cast("double")) * 1e-12
-    return (both.groupBy(*keys)
-            .agg(*[side(m, n) for n in names for m in ("amount", "operations")])
+    return (rows.groupBy(*keys)
+            .agg(*[F.sum(f"{m}_{n}").alias(f"{m}_{n}") for n in names for m in ("amount", "operations")])
             .withColumn("amount_equal", F.abs(amounts) <= allowed)
             .withColumn("operations_equal",
                         F.col(f"operations_{a}") == F.col(f"operations_{b}"))

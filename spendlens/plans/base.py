@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import any_null
+from spendlens.functions.exprs import any_null, not_in
 from spendlens.operators import allocate, checks, weights
 from spendlens.plans.weights import category_coverage, missing_plan_months, weights_overlap
 from spendlens.plans.workspace import Workspace
@@ -28,14 +28,28 @@ def residual_weight_sum(ws: Workspace) -> DataFrame:
 
 
 def reconcile(ws: Workspace) -> DataFrame:
-    return checks.reconcile(ws.final_base, ws.clean, allocate.CELL)
+    """A base that was not loaded is the classified payments plus the allocated rows: both sides then
+    come from one scan of the payments."""
+    if ws.base_loaded:
+        return checks.reconcile(ws.final_base, ws.clean, allocate.CELL)
+    classified = not_in(F.col("category"), ws.params.residual_categories)
+    paid = ws.clean.select(*allocate.CELL, *[
+        column for m in ("amount", "operations")
+        for column in (F.when(classified, F.col(m)).alias(f"{m}_clean"), F.col(m).alias(f"{m}_raw"))])
+    spread = ws.allocated.select(
+        *allocate.CELL, F.col("amount").cast(ws.clean.schema["amount"].dataType).alias("amount_clean"),
+        F.col("operations").alias("operations_clean"))
+    return checks.compare_sums(paid.unionByName(spread, allowMissingColumns=True), allocate.CELL)
 
 
 def checks_table(ws: Workspace) -> DataFrame:
     """One row per invariant with its number of violations; lost spend is an amount."""
     any_row = F.lit(True)
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
-    payments, learning, base = ws.table("payments"), ws.learning_raw, ws.final_base
+    payments, learning = ws.table("payments"), ws.learning_raw
+    # cleaning leaves no nulls in payments, so only allocated rows can bring them into a base
+    base = ws.final_base if ws.base_loaded else ws.allocated.select(
+        *allocate.CELL, "category", "operations", "amount")
     merchant_months = ws.table("merchant_sales").select("period").distinct()
     provinces, months = (ws.base.select(c).distinct() for c in ("province", "period"))
     return checks.check_table([

@@ -44,6 +44,7 @@ class Workspace:
         self.inputs = inputs
         self.params = params
         self.stage = (stage or Stage(spark)).scope()
+        self.base_loaded = False
 
     def table(self, name: str) -> DataFrame:
         return self.inputs.table(name)
@@ -70,6 +71,7 @@ class Workspace:
         self.weights = read.schema(PLATFORM_WEIGHTS).parquet(f"{folder}/platform_weights")
         self.final_base = read.schema(FINAL_BASE).parquet(f"{folder}/final_base").select(
             *FINAL_BASE.names).filter(F.col("period") <= day(cutoff))
+        self.base_loaded = True
         return self
 
     # --- weights ---------------------------------------------------------------------------

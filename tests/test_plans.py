@@ -10,7 +10,8 @@ import __spark_entry__ as entry_module
 from spendlens.operators.ranking import top_per_group
 from spendlens.plans.category import merchants_by_category
 from spendlens.plans.registry import TABLES
-from spendlens.sources.retail import RetailInputs
+from spendlens.plans.workspace import Workspace
+from spendlens.sources.retail import PARAMS, RetailInputs
 from spendlens.sources.staging import Stage
 
 UNBOUNDED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "collect_set")
@@ -91,3 +92,20 @@ def test_only_leading_merchants_meet_the_registry(ws):
 def test_distinct_counts_are_preaggregated(ws):
     text = plan(TABLES["merchants_prov"](ws))
     assert "partial_count" in text and "Exchange hashpartitioning" in text
+
+
+def test_reconciling_reads_the_payments_once(ws):
+    for name, scans in (("reconcile", 1), ("checks", 2)):
+        text = plan(TABLES[name](ws))
+        assert len(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*/payments\]", text)) == scans, name
+
+
+@pytest.mark.parametrize("name", ["base", "platform_base", "aggregator_base"])
+def test_cubes_are_summed_before_they_are_deflated(spark, small_dir, name):
+    ws = Workspace(spark, RetailInputs(spark, small_dir, Stage(spark)), PARAMS)
+    built = {}
+    ws.stage.table = lambda key, build, **_: built.setdefault(key, build())
+    getattr(ws, name)
+    text = plan(built[{"base": "base_cube", "platform_base": "platform_cube", "aggregator_base": "aggregator_cube"}[name]])
+    join = text.index("Join [period")
+    assert "partial_sum(amount" not in text[:join] and "partial_sum(amount" in text[join:]
