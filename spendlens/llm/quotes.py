@@ -119,7 +119,7 @@ def as_mail(conversations: DataFrame) -> DataFrame:
     """Conversations as mail: each turn quotes the turn before it, and that one's quote of the turn
     before, at a deeper level. The first turn quotes nothing."""
     def quote(name: str, mark: str) -> Column:
-        return F.regexp_replace(F.col(name), "(?m)^", mark)
+        return F.regexp_replace(F.col(name), "(?dm)^", mark)
 
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     said = staged(rows.groupBy("conv_id", "turn").agg(F.min("text").alias("text")), "said")
