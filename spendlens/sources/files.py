@@ -46,19 +46,30 @@ def _typed(df: DataFrame, field: T.StructField) -> Column:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw text columns named by the header line; empty fields and "NA" are null.
 
-    Nothing is inferred from the data: ``conform`` casts to the declared types.
+    Nothing is inferred from the data: ``conform`` casts to the declared types. Files of one folder
+    must name their columns in the same order; others are refused rather than read by position.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+           .csv(path))
     return raw.select(*[F.when(~F.col(f"`{c}`").isin("", "NA"), F.col(f"`{c}`")).alias(c)
                         for c in raw.columns])
 
 
-def is_csv(path: str) -> bool:
-    return path.rstrip("/").lower().endswith((".csv", ".csv.gz"))
+CSV = (".csv", ".csv.gz")
+
+
+def is_csv(spark: SparkSession, path: str) -> bool:
+    """By the name of the path, or by those of the files in it, such as one extract per month."""
+    if path.rstrip("/").lower().endswith(CSV):
+        return True
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(folder) and any(
+        status.getPath().getName().lower().endswith(CSV) for status in files.listStatus(folder))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return conform(read_csv(spark, path) if is_csv(path) else spark.read.parquet(path), schema)
+    return conform(read_csv(spark, path) if is_csv(spark, path) else spark.read.parquet(path), schema)
 
 
 class FileInputs:
@@ -83,7 +94,7 @@ class FileInputs:
 
     def _open(self, path: str, name: str) -> DataFrame:
         schema = INPUTS[name]
-        if self.stage is None or not is_csv(path):
+        if self.stage is None or not is_csv(self.spark, path):
             return read_table(self.spark, path, schema)
         return self.stage.table(f"input_{name}", lambda: read_table(self.spark, path, schema),
                                 sort_within="period" if "period" in schema.names else None)

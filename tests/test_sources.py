@@ -198,6 +198,16 @@ def test_merchant_bundle_needs_merchant_sales_alone(spark, raw_files, tmp_path,
     assert counted == spark.read.parquet(targets["merchants_since"]).count() > 0
 
 
+def test_a_folder_of_monthly_files(spark, tmp_path):
+    header = "anio,mes,provincia,rubroa12,marca_medio_pago,monto,operaciones,cuotas"
+    for month in (7, 8):
+        (tmp_path / f"2022-{month}.csv").write_text(f"{header}\n2022,{month},Salta,Otros,VISA,1.5,10,3\n")
+    assert rows(read_table(spark, str(tmp_path), PAYMENTS), "period") == [(date(2022, 7, 1),), (date(2022, 8, 1),)]
+    (tmp_path / "2022-9.csv").write_text("mes,anio" + header[8:] + "\n9,2022,Salta,Otros,VISA,1.5,10,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(tmp_path), PAYMENTS).collect()
+
+
 def test_settings_of_a_run():
     assert job.setting("years=(2022,2023)") == ("years", (2022, 2023))
     assert job.setting("new_month=2022-09-01") == ("new_month", "2022-09-01")
