@@ -27,6 +27,7 @@ from spendlens.llm.common import id_and_text, staged
 MAX_PIECES = 500_000  # distinct pre-tokens of a block, at most, but for those of its last part
 MAX_DOCS = 20_000  # documents of a block, at most
 BLOCK_BITS, PLACE_BITS = 16, 20  # of the blocks of a task, and of the places of a block
+COUNT_BITS = 40  # of the pieces of a pre-token, which share a number with its place
 PART = 1_000_000  # characters of a text from which its pre-tokens are taken in parts
 # characters whose classes have not changed between Unicode versions: Latin, Greek, Cyrillic, dashes,
 # quotation marks and currency signs
@@ -186,14 +187,18 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     places = found.filter("pieces IS NOT NULL").select("block", F.posexplode("pieces").alias("place", "piece"))
     entries = places.select(F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col("place").cast("long")).alias("entry"),
                             "piece")
-    counted = entries.select("piece").distinct().withColumn("pieces", pieces_of("piece"))
+    # a block has each pre-token once, so nothing is gained by a partial aggregation; and the
+    # dictionaries' alphabetical order, which it would lose, makes the shuffle compress well
+    counted = (entries.select("piece").repartition("piece").distinct()
+               .withColumn("pieces", pieces_of("piece").cast("long")))
+    place = F.col("entry").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     tables = (entries.join(counted, "piece")
               .groupBy(F.shiftright("entry", PLACE_BITS).alias("of_block"))
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("entry", "pieces"))), lambda x: x["pieces"])
-                   .alias("pieces")))
+              .agg(F.collect_list(F.shiftleft(place, COUNT_BITS).bitwiseOR(F.col("pieces"))).alias("pieces")))
 
     def summed(rows: pa.Table, table: pa.Table) -> pa.Table:
-        pieces = table.column("pieces").combine_chunks().values.to_numpy() if len(table) else np.zeros(0, np.int32)
+        packs = table.column("pieces").combine_chunks().values.to_numpy() if len(table) else np.zeros(0, np.int64)
+        pieces = np.sort(packs) & ((1 << COUNT_BITS) - 1)
         totals = []
         for n, data, known in zip(*(rows.column(c).to_pylist() for c in ("n", "data", "known"))):
             ids, counts = unpacked(data, n)
