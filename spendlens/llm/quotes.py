@@ -43,20 +43,24 @@ def with_runs(messages: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """(scope, seq, root, depth) of every message, by doubling the step towards the root."""
+    """(scope, seq, root, depth) of every message, by doubling the step towards the root.
+
+    Only messages that have not reached their root take part in a round, so the rounds of one long
+    conversation cost the others nothing.
+    """
+    is_root = F.col("parent").isNull()
     state = staged(parents.select(
-        "scope", "seq", F.coalesce("parent", "seq").alias("up"),
-        F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth")), "steps")
-    while True:
+        "scope", "seq", F.coalesce("parent", "seq").alias("up"), F.when(is_root, 0).otherwise(1).alias("depth"),
+        is_root.alias("done")), "steps")
+    while not state.filter("NOT done").isEmpty():
+        active = state.filter("NOT done")
         above = state.select(F.col("scope").alias("s"), F.col("seq").alias("q"), F.col("up").alias("next"),
-                             F.col("depth").alias("more")).distinct()
-        doubled = staged(state.join(above, state["scope"].eqNullSafe(above["s"]) & (state["up"] == above["q"]))
-                        .select("scope", "seq", F.col("next").alias("up"),
-                                (F.col("depth") + F.col("more")).alias("depth"),
-                                (F.col("more") > 0).alias("moved")), "steps")
-        state = doubled.drop("moved")
-        if doubled.filter("moved").isEmpty():
-            return state.select("scope", "seq", F.col("up").alias("root"), "depth")
+                             F.col("depth").alias("more"), F.col("done").alias("end"))
+        moved = (active.join(above, active["scope"].eqNullSafe(above["s"]) & (active["up"] == above["q"]))
+                 .select("scope", "seq", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+                         F.col("end").alias("done")))
+        state = staged(state.filter("done").unionByName(moved), "steps")
+    return state.select("scope", "seq", F.col("up").alias("root"), "depth")
 
 
 def link_quotes(messages: DataFrame, scope_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
