@@ -27,6 +27,7 @@ from spendlens.llm.common import id_and_text, staged
 MAX_PIECES = 500_000  # distinct pre-tokens of a block, at most, but for those of its last part
 MAX_DOCS = 20_000  # documents of a block, at most
 BLOCK_BITS, PLACE_BITS = 16, 20  # of the blocks of a task, and of the places of a block
+SPAN_BITS = 12  # of the tasks whose entries of a pre-token are grouped
 COUNT_BITS = 40  # of the pieces of a pre-token, which share a number with its place
 PART = 1_000_000  # characters of a text from which its pre-tokens are taken in parts
 # characters whose classes have not changed between Unicode versions: Latin, Greek, Cyrillic, dashes,
@@ -187,12 +188,15 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     places = found.filter("pieces IS NOT NULL").select("block", F.posexplode("pieces").alias("place", "piece"))
     entries = places.select(F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col("place").cast("long")).alias("entry"),
                             "piece")
-    # a block has each pre-token once, so nothing is gained by a partial aggregation; and the
-    # dictionaries' alphabetical order, which it would lose, makes the shuffle compress well
-    counted = (entries.select("piece").repartition("piece").distinct()
-               .withColumn("pieces", pieces_of("piece").cast("long")))
+    # All entries of a pre-token meet in one shuffle of plain rows, which the dictionaries' order makes
+    # compress well. A group holds one entry per block, of at most 2 ** SPAN_BITS tasks: a span is some
+    # 250 GB of text, beyond which a pre-token is counted once more for each span.
+    span = F.shiftright("entry", PLACE_BITS + BLOCK_BITS + SPAN_BITS)
+    counted = (entries.withColumn("span", span).repartition("span", "piece")
+               .groupBy("span", "piece").agg(F.collect_list("entry").alias("entries"))
+               .select(pieces_of("piece").cast("long").alias("pieces"), "entries"))
     place = F.col("entry").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    tables = (entries.join(counted, "piece")
+    tables = (counted.select("pieces", F.explode("entries").alias("entry"))
               .groupBy(F.shiftright("entry", PLACE_BITS).alias("of_block"))
               .agg(F.collect_list(F.shiftleft(place, COUNT_BITS).bitwiseOR(F.col("pieces"))).alias("pieces")))
 
