@@ -1,0 +1,52 @@
+"""Near copies of the pipeline's stage against brute force over all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from test_simhash import groups
+
+from spendlens.llm.exact import without_copies
+from spendlens.llm.nearcopies import without_near_copies
+
+
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_pairs(texts):
+    sets, ids = {i: plain_shingles(t) for i, t in texts.items()}, sorted(texts)
+    return [(a, b) for k, a in enumerate(ids) for b in ids[:k]
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+
+
+def test_stage_finds_all_similar_pairs(spark, data_dir):
+    docs = without_copies(spark.read.parquet(f"{data_dir}/documents.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    pairs = similar_pairs(texts)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, data_dir).collect()}
+    assert pairs and kept == set(groups(texts, pairs).values())
+
+
+def test_groups_of_edited_texts(spark, docs):
+    rng, texts = random.Random(3), {}
+    for group in range(6):
+        words = [f"w{rng.randrange(4000)}" for _ in range(120)]
+        for copy in range(25):
+            own = list(words)
+            for _ in range(rng.randrange(5)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(4000)}"
+            texts[group * 25 + copy] = " ".join(own)
+    pairs = similar_pairs(texts)
+    assert 0 < len(pairs) < 6 * 25 * 24 // 2
+    found = without_near_copies(docs(*texts.items()))
+    assert {r["doc_id"] for r in found.collect()} == set(groups(texts, pairs).values())
+
+
+def test_odd_rows(spark, odd_docs, docs):
+    found = without_near_copies(odd_docs)
+    assert found.columns == odd_docs.columns
+    assert sorted(((r["doc_id"] or 0) for r in found.collect())) == [0, 1, 4, 6, 7]
+    assert without_near_copies(docs()).count() == 0
