@@ -214,8 +214,10 @@ def blocks(top: Node) -> Iterator[str]:
 def main_text(page: str) -> str:
     """The text of the subtree with the largest density sum, one line per block.
 
-    The smallest density on the path from that node to the body is the threshold: subtrees that
-    stand beside the path, in elements of the same name, belong to the text if they reach it.
+    It rises to the article or main element around it if the rest of that is not mostly links. The
+    smallest density on the path from there to the body is the threshold: subtrees of any name that
+    stand beside the path belong to the text if they reach it. Beside the node itself, unless that
+    is directly in the body, those that are not mostly links belong to it also below the threshold.
     """
     nodes = parse(page)
     weigh(nodes)
@@ -227,14 +229,19 @@ def main_text(page: str) -> str:
     while node is not None:
         path.append(node)
         node = node.parent
+    rise = 0
+    for depth, node in enumerate(path):
+        if node.tag in ("article", "main") and 2 * (node.link_chars - best.link_chars) <= node.chars - best.chars:
+            rise = depth
+    path = path[rise:]
     threshold = min(n.density for n in path)
-    chosen = [best]
+    chosen = [path[0]]
     for child, parent in zip(path, path[1:]):
-        same = [n for n in parent.items if isinstance(n, Node) and not n.dropped and n.tag == child.tag
-                and (n is child or n.density >= threshold > 0)]
-        if len(same) > 1:
-            at = same.index(child)
-            chosen = same[:at] + chosen + same[at + 1:]
+        near = child is path[0] and parent.parent is not None and child.tag not in ("article", "main")
+        beside = [n for n in parent.items if isinstance(n, Node) and not n.dropped
+                  and (n is child or n.density >= threshold > 0 or near and 2 * n.link_chars < n.chars)]
+        at = beside.index(child)
+        chosen = beside[:at] + chosen + beside[at + 1:]
     return "\n".join(text for top in chosen for text in blocks(top))
 
 

@@ -55,3 +55,12 @@ def test_given_pages_give_their_articles(spark, small_dir):
             for tag in ("<h1>", "</h1>", "<p>", "</p>"):
                 blocks = blocks.replace(tag, "\n\0")
             assert text == "\n".join(b for b in (" ".join(x.split()) for x in blocks.split("\0")) if b), title
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_all_of_a_sectioned_article(around):
+    lead, words = "lead " * 50, "some words of text " * 9
+    page = (f"<body><div><ul><li><a href=/>{'menu ' * 20}</a></ul></div><div><{around}><h1>Title</h1><p>{lead}</p>"
+            f"<section>{f'<p>{words}</p>' * 10}</section><section>{f'<p>{words}</p>' * 3}</section>"
+            f"<blockquote>quoted</blockquote></{around}></div></body>")
+    assert main_text(page).split("\n") == ["Title", lead.strip(), *[words.strip()] * 13, "quoted"]
