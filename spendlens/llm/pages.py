@@ -58,10 +58,11 @@ class Node:
     """
 
     __slots__ = ("tag", "parent", "items", "dropped", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total")
+                 "density", "total", "named", "plain", "holds")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, named: int = 0):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
+        self.plain, self.holds = 0, False
         self.items: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -76,9 +77,39 @@ def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     if HIDDEN.search(attributes):
         return True
-    names = {part.lower() for m in NAMED.finditer(attributes)
-             for part in PART.findall(m[1] or m[2] or m[3] or "")}
-    return not BOILERPLATE.isdisjoint(names) or ("header" in names and not in_article)
+    return False
+
+
+def boilerplate_name(attributes: str, in_article: bool) -> int:
+    """2 if all words of a class, an id or a role are boilerplate, 1 if only some are, else 0."""
+    found = 0
+    for m in NAMED.finditer(attributes):
+        for token in (m[1] or m[2] or m[3] or "").split():
+            words = [part.lower() in BOILERPLATE or (part.lower() == "header" and not in_article)
+                     for part in PART.findall(token)]
+            if words and all(words):
+                return 2
+            found = max(found, int(any(words)))
+    return found
+
+
+def settle(nodes: list[Node]) -> None:
+    """Drop what is named as boilerplate, with all inside it, unless it holds an article or main.
+
+    Names that match in part drop nothing; they are forgotten where the element holds an article or
+    most of the page's text outside links.
+    """
+    for node in reversed(nodes):
+        node.plain += node.chars - node.link_chars
+        if node.parent is not None and not node.dropped:
+            node.parent.plain += node.plain
+            if node.named < 2 or node.holds:
+                node.parent.holds |= node.holds or (node.tag in ("article", "main") and not node.named)
+    for node in nodes:
+        inside = node.parent is not None and node.parent.dropped
+        if node.tag in KEPT or node.holds or (node.named == 1 and 2 * node.plain > nodes[0].plain):
+            node.named = 0
+        node.dropped = node.dropped or inside or node.named == 2
 
 
 def parse(page: str) -> list[Node]:
@@ -135,8 +166,9 @@ def parse(page: str) -> list[Node]:
                     break
         if tag in ("html", "body"):
             continue
-        dropped = stack[-1].dropped or is_boilerplate(
-            tag, attributes, opened["article"] + opened["main"] > 0)
+        in_article = opened["article"] + opened["main"] > 0
+        dropped = stack[-1].dropped or is_boilerplate(tag, attributes, in_article)
+        named = boilerplate_name(attributes, in_article) if attributes else 0
         if tag in RAW:
             end = re.compile(f"</{tag}[^a-zA-Z]", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -148,15 +180,16 @@ def parse(page: str) -> list[Node]:
         if tag == "br" or tag == "wbr" or tag in VOID:
             stack[-1].items.append(" " if tag != "wbr" else "")
             continue
-        if tag in INLINE and (not dropped or stack[-1].dropped):
+        if tag in INLINE and (not (dropped or named == 2) or stack[-1].dropped):
             continue
-        node = Node(tag, stack[-1], dropped)
+        node = Node(tag, stack[-1], dropped, named)
         stack[-1].items.append(node)
         nodes.append(node)
         stack.append(node)
         opened[tag] += 1
     if at < len(page):
         add(CUT.sub("", page[at:]))
+    settle(nodes)
     return nodes
 
 
@@ -185,14 +218,19 @@ def weigh(nodes: list[Node]) -> None:
                                    if base > 1 + 1e-9 else math.log(max(1.0, c / max(1, lc) * t / lt) + 1))
     for node in nodes[1:]:
         if not node.dropped:
+            if node.named:
+                node.density /= 2
             node.parent.total += node.density
     for node in nodes:
         if not any(isinstance(item, Node) and not item.dropped for item in node.items):
             node.total = node.density
 
 
-def blocks(top: Node) -> Iterator[str]:
-    """Texts of the blocks under a node in page order, white space made single."""
+def blocks(top: Node, least: float = 0.0) -> Iterator[str]:
+    """Texts of the blocks under a node in page order, white space made single.
+
+    Nodes with a name that is boilerplate in part stay if their density reaches ``least``.
+    """
     buffer: list[str] = []
     work: list[str | Node | None] = [top]
     while work:
@@ -204,7 +242,7 @@ def blocks(top: Node) -> Iterator[str]:
             if text := " ".join("".join(buffer).split()):
                 yield text
             buffer = []
-        if item is not None and not item.dropped:
+        if item is not None and not item.dropped and (item is top or not item.named or item.density >= least):
             work.append(None)
             work.extend(reversed(item.items))
     if text := " ".join("".join(buffer).split()):
@@ -239,10 +277,10 @@ def main_text(page: str) -> str:
     for child, parent in zip(path, path[1:]):
         near = child is path[0] and parent.parent is not None and child.tag not in ("article", "main")
         beside = [n for n in parent.items if isinstance(n, Node) and not n.dropped
-                  and (n is child or n.density >= threshold > 0 or near and 2 * n.link_chars < n.chars)]
+                  and (n is child or n.density >= threshold > 0 or near and not n.named and 2 * n.link_chars < n.chars)]
         at = beside.index(child)
         chosen = beside[:at] + chosen + beside[at + 1:]
-    return "\n".join(text for top in chosen for text in blocks(top))
+    return "\n".join(text for top in chosen for text in blocks(top, threshold))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -64,3 +64,14 @@ def test_all_of_a_sectioned_article(around):
             f"<section>{f'<p>{words}</p>' * 10}</section><section>{f'<p>{words}</p>' * 3}</section>"
             f"<blockquote>quoted</blockquote></{around}></div></body>")
     assert main_text(page).split("\n") == ["Title", lead.strip(), *[words.strip()] * 13, "quoted"]
+
+
+@pytest.mark.parametrize("names", [
+    'class="site has-sidebar"', 'id="page" class="no-comments"', 'class="post ad-free"',
+    'class="content share-enabled"'])
+def test_wrappers_with_a_boilerplate_word(names):
+    words = "some words of text " * 9
+    comments = f'<section id="comments"><article class="comment-body"><p>{words}</p></article></section>'
+    for inner in ("article", "div"):
+        page = f"<body><div {names}><{inner}><h1>T</h1>{f'<p>{words}</p>' * 4}</{inner}>{comments}</div></body>"
+        assert main_text(page).split("\n") == ["T", *[words.strip()] * 4]
