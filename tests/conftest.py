@@ -42,10 +42,3 @@ def frame(spark):
             return Decimal(str(v)) if isinstance(v, float) and "decimal" in schema else v
         return spark.createDataFrame([tuple(value(v) for v in row) for row in rows], schema)
     return build
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples, nulls first."""
-    selected = df.select(*columns) if columns else df
-    out = [tuple(float(v) if isinstance(v, Decimal) else v for v in r) for r in selected.collect()]
-    return sorted(out, key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from spendlens.operators import allocate, weights
 
 PAYMENT = ("period date, province string, category string, payment_brand string, "

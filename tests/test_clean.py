@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from spendlens.functions.exprs import day, half_even, money, not_in, ratio
 from spendlens.operators import clean
 

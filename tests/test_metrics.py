@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from spendlens.operators import metrics, prices
 
 SERIES = "period date, k string, amount decimal(28,4)"

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from conftest import rows
+from frames import rows
 from spendlens import job
 from spendlens.params import Params
 from spendlens.plans.registry import BUNDLES, PUBLISHED, TABLES, order_of

@@ -7,7 +7,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from spendlens.params import Params
 from spendlens.plans import tables
 
