@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from spendlens.llm import decontam, exact, licenses, mixing, pages, quality, quotes, simhash, tokens, toxicity
+from spendlens.llm import (
+    centroids, decontam, exact, fertility, licenses, mixing, pages, quality, quotes, search, simhash, tokens, toxicity)
 from spendlens.llm.common import read
 from spendlens.llm.labels import held_out
 
@@ -65,12 +66,27 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _predicted(toxicity.toxicity(docs, labels), toxicity.THRESHOLD)
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(read(spark, folder, "embeddings"))
+
+
+def op12_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return fertility.rules(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_licenses, op2_exact_dedup, op3_quote_links, op4_token_counts, op5_simhash, op6_quality, op7_html_text,
-        op8_decontamination, op9_mixing, op10_toxicity)}
+        op8_decontamination, op9_mixing, op10_toxicity, op11_centroids, op12_fertility_rules, op13_ranked_search)}
 
 ORACLES: dict[str, str] = {
     "op1_licenses": licenses.ORACLE,
     "op2_exact_dedup": exact.ORACLE, "op3_quote_links": quotes.ORACLE,
-    "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE}
+    "op8_decontamination": decontam.ORACLE, "op9_mixing": mixing.ORACLE,
+    "op11_centroids": centroids.oracle(), "op13_ranked_search": search.ORACLE}
