@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import column, staged
+from spendlens.llm.common import ASCII_SPACE, column, staged
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 SYMBOLS = b"#*$%&|<>"
+SPACE = ASCII_SPACE.encode()
 MAX_WORDS = 300_000  # distinct words whose pieces a task remembers
 # First code point of each block of scripts, and its script; None: of no script.
 SCRIPTS = ((0x41, "latin"), (0x5B, None), (0x61, "latin"), (0x7B, None), (0xAA, "latin"), (0x2B9, None),
@@ -121,7 +122,7 @@ def measured(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             pieces, ends = words.table(list(number))
             groups, out = [], []
             for text, ids, lang in zip(texts, rows, part.column("lang").to_pylist()):
-                chars = len(text.decode().translate(NO_SPACE))
+                chars = len(text.decode()) - (len(text) - len(text.translate(None, SPACE)))
                 kinds, times = np.unique(ids, return_counts=True)
                 sizes = ends[kinds + 1] - ends[kinds]
                 places = np.arange(sizes.sum()) + np.repeat(ends[kinds] - np.cumsum(sizes) + sizes, sizes)
@@ -143,9 +144,6 @@ def measured(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                            + ", ".join(f"{name} long" for name in COUNTS))
 
 
-NO_SPACE = {ord(c): None for c in " \t\n\x0b\x0c\r"}
-
-
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
