@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-TABLES = ("documents", "labels", "pages", "benchmark", "conversations")
+TABLES = ("documents", "embeddings", "labels", "pages", "benchmark", "conversations")
 #: Columns that operators use as names of their own.
 CLASHING = ("row", "kept", "fp", "content", "score", "label", "tokens", "topic", "hits", "window", "Text2")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(

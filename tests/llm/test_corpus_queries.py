@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 from compare import difference
 
-from spendlens.llm import decontam, exact, licenses, mixing, pages, quality, quotes, simhash, tokens, toxicity
+from spendlens.llm import (
+    decontam, exact, fertility, licenses, mixing, pages, quality, quotes, simhash, tokens, toxicity)
 from spendlens.llm.queries import ORACLES, QUERIES
 
 VOCABULARY = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+PIECES = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -17,7 +19,7 @@ def test_query_matches_sql(spark, duck, small_dir, name):
 
 
 def test_every_number_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def labels(spark, *rows):
@@ -33,6 +35,7 @@ OPERATORS = {
     "exact": lambda spark, d: exact.exact_duplicates(d),
     "tokens": lambda spark, d: tokens.count_tokens(d, VOCABULARY),
     "simhash": lambda spark, d: simhash.near_duplicates(d),
+    "fertility": lambda spark, d: fertility.rules(d, PIECES),
     "quality": lambda spark, d: quality.score(d, quality.train(d, labels(spark, (4, 1, 0), (6, 0, 1), (7, None, None)))),
     "pages": lambda spark, d: pages.extract(d, "doc_id", "source", "text"),
     "mixing": lambda spark, d: mixing.mix(d),
