@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -20,6 +21,23 @@ def month_from(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
+def in_months(since: str | None, until: str | None, year: str = "year", month: str = "month") -> Column:
+    """Whether a row's year and month lie in a range of months, both ends included.
+
+    Said of the two stored columns and not of a date built from them, the condition reaches the scan.
+    """
+    condition = F.lit(True)
+    if since is not None:
+        first = date.fromisoformat(since)
+        condition = condition & ((F.col(year) > first.year)
+                                 | ((F.col(year) == first.year) & (F.col(month) >= first.month)))
+    if until is not None:
+        last = date.fromisoformat(until)
+        condition = condition & ((F.col(year) < last.year)
+                                 | ((F.col(year) == last.year) & (F.col(month) <= last.month)))
+    return condition
+
+
 def month_number(period: Column) -> Column:
     """Months since year 0: consecutive months differ by one."""
     return F.year(period) * 12 + F.month(period)

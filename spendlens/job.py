@@ -16,23 +16,40 @@ from dataclasses import fields, replace
 from pyspark.sql import SparkSession
 
 from spendlens.params import Params
-from spendlens.plans.registry import BUNDLES, FROM_BASE, HEADERLESS, PUBLISHED, TABLES, order_of
+from spendlens.plans.registry import BUNDLES, FROM_BASE, FROM_HISTORY, HEADERLESS, PUBLISHED, TABLES, order_of
 from spendlens.plans.workspace import Workspace
 from spendlens.session import COMMON_CONF
+from spendlens.sources import versions
 from spendlens.sources.files import FileInputs
 from spendlens.sources.sinks import publish
 from spendlens.sources.staging import Stage
 
 
 def publish_reports(ws: Workspace, output: str, reports: Sequence[str], fmt: str) -> dict[str, str]:
-    """Publish each named bundle under ``output``; returns the folder of every table."""
-    targets = {}
+    """Publish each named bundle as a new version under ``output``; returns the folder of every table.
+
+    A bundle becomes current when all its tables are written. The version before it stays for those
+    who are reading it; older ones go.
+    """
+    targets, version = {}, versions.new_version()
     for report in reports:
+        folder = f"{output}/{report}"
+        before = versions.current(ws.spark, folder)
         tables = {name: TABLES[name](ws) for name in BUNDLES[report]}
-        targets |= publish(tables, f"{output}/{report}", fmt, order_of, HEADERLESS, PUBLISHED)
+        targets |= publish(tables, f"{folder}/{version}", fmt, order_of, HEADERLESS, PUBLISHED)
+        versions.make_current(ws.spark, folder, version)
+        versions.delete_others(ws.spark, folder, {version, before})
     return targets
 
 
+def published(spark: SparkSession, output: str, report: str) -> dict[str, str]:
+    """The folder of every table of the current version of a bundle."""
+    version = versions.current(spark, f"{output}/{report}")
+    if version is None:
+        raise ValueError(f"nothing is published in {output}/{report}")
+    return {name: f"{output}/{report}/{version}/{name}" for name in BUNDLES[report]}
+
+
 def setting(item: str) -> tuple[str, object]:
     """A field of ``Params`` and its value: a Python literal, or text such as a date."""
     name, _, text = item.partition("=")
@@ -73,6 +90,8 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
             ws.load_base(args.base)
         elif not FROM_BASE.isdisjoint(args.reports):
             ws.save_base(args.output)
+        if not FROM_HISTORY.isdisjoint(args.reports):
+            ws.save_merchants(args.output)
         return publish_reports(ws, args.output, args.reports, args.format)
     finally:
         stage.drop()

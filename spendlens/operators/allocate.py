@@ -7,12 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import exact, half_even, money, not_in
+from spendlens.functions.exprs import any_null, day, exact, half_even, money, not_in
 from spendlens.operators.metrics import sums
 
 CELL = ("period", "province", "installments")
 
 
+def payment_cells(payments: DataFrame, cutoff: str, plans: Sequence[int], residual: Sequence[str]) -> DataFrame:
+    """What every later step asks of the payments as a whole, per month, province and plan, in one pass.
+
+    Sums of all clean rows (``amount``, ``operations``) and of the unclassified ones (``*_residual``) and
+    classified ones (``*_classified``) among them, their numbers, a digest of the clean rows that does not
+    depend on their order, and the numbers of faulty rows, which the checks report. These are sums of an
+    aggregation and not metrics observed on the way, which a repeated task would count twice.
+    """
+    clean = F.coalesce((F.col("period") <= day(cutoff)) & F.col("installments").isin(list(plans))
+                       & ~any_null(payments.columns) & (F.col("amount") > 0), F.lit(False))
+    open_rows = clean & F.col("category").isin(list(residual))
+    parts = {"": clean, "_residual": open_rows, "_classified": clean & ~open_rows}
+    kinds = F.lit(payments.schema.simpleString())  # a change of schema changes every digest
+    digest = F.xxhash64(*payments.columns, kinds).cast("decimal(38,0)")
+    return payments.groupBy(*CELL).agg(
+        *[F.sum(F.when(rows, F.col(m))).alias(f"{m}{name}") for name, rows in parts.items() for m in ("amount", "operations")],
+        F.count_if(clean).alias("clean_rows"), F.count_if(open_rows).alias("residual_rows"),
+        F.sum(F.when(clean, digest)).alias("digest"),
+        F.count_if(any_null(payments.columns)).alias("null_rows"),
+        F.count_if(F.dayofmonth("period") != 1).alias("undated_rows"))
+
+
+def residual_cells(cells: DataFrame) -> DataFrame:
+    """``residual_totals`` from the cells of the payments."""
+    return cells.filter("residual_rows > 0").select(
+        *CELL, F.col("amount_residual").alias("amount"), F.col("operations_residual").alias("operations"))
+
+
 def residual_totals(clean: DataFrame, residual: Sequence[str]) -> DataFrame:
     return sums(clean.filter(F.col("category").isin(list(residual))), CELL, "amount", "operations")
 

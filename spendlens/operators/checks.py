@@ -87,5 +87,11 @@ def violations(df: DataFrame, **conditions: Column) -> DataFrame:
     return counted.unpivot([], list(conditions), "check", "violations")
 
 
+def totals(df: DataFrame, **columns: str) -> DataFrame:
+    """(check, violations) from columns that hold numbers of violations."""
+    summed = df.agg(*[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in columns.items()])
+    return summed.unpivot([], list(columns), "check", "violations")
+
+
 def check_table(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)

@@ -18,8 +18,8 @@ def latest_month(df: DataFrame) -> Column:
     return df.agg(F.max("period")).scalar()
 
 
-def in_latest_month(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("period") == latest_month(df))
+def in_latest_month(df: DataFrame, latest: Column | None = None) -> DataFrame:
+    return df.filter(F.col("period") == (latest_month(df) if latest is None else latest))
 
 
 def top_items(df: DataFrame, item: str, measure: str, n: int) -> DataFrame:

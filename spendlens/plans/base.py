@@ -11,6 +11,9 @@ from spendlens.plans.weights import category_coverage, missing_plan_months, weig
 from spendlens.plans.workspace import Workspace
 
 
+MEASURES = ("amount", "operations")
+
+
 def residual_domain(ws: Workspace) -> DataFrame:
     return (ws.clean.filter(F.col("category").isin(list(ws.params.residual_categories)))
             .select("province", "category", "payment_brand").distinct())
@@ -28,33 +31,39 @@ def residual_weight_sum(ws: Workspace) -> DataFrame:
 
 
 def reconcile(ws: Workspace) -> DataFrame:
-    """A base that was not loaded is the classified payments plus the allocated rows: both sides then
-    come from one scan of the payments."""
+    """Final base against clean payments, without reading the payments again.
+
+    A base that was not loaded is the classified payments plus the allocated rows, and the cells of the
+    payments hold both sums.
+    """
+    cells = ws.payment_cells.filter("clean_rows > 0")
     if ws.base_loaded:
-        return checks.reconcile(ws.final_base, ws.clean, allocate.CELL)
-    classified = not_in(F.col("category"), ws.params.residual_categories)
-    paid = ws.clean.select(*allocate.CELL, *[
-        column for m in ("amount", "operations")
-        for column in (F.when(classified, F.col(m)).alias(f"{m}_clean"), F.col(m).alias(f"{m}_raw"))])
+        return checks.reconcile(ws.final_base, cells.select(*allocate.CELL, *MEASURES), allocate.CELL)
+    paid = cells.select(*allocate.CELL, *[F.col(f"{m}_classified").alias(f"{m}_clean") for m in MEASURES],
+                        *[F.col(m).alias(f"{m}_raw") for m in MEASURES])
     spread = ws.allocated.select(
-        *allocate.CELL, F.col("amount").cast(ws.clean.schema["amount"].dataType).alias("amount_clean"),
+        *allocate.CELL, F.col("amount").cast(paid.schema["amount_clean"].dataType).alias("amount_clean"),
         F.col("operations").alias("operations_clean"))
     return checks.compare_sums(paid.unionByName(spread, allowMissingColumns=True), allocate.CELL)
 
 
 def checks_table(ws: Workspace) -> DataFrame:
-    """One row per invariant with its number of violations; lost spend is an amount."""
+    """One row per invariant with its number of violations; lost spend is an amount.
+
+    Text inputs with malformed lines add a row each.
+    """
     any_row = F.lit(True)
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
-    payments, learning = ws.table("payments"), ws.learning_raw
+    cells, learning = ws.payment_cells, ws.learning_raw
     # cleaning leaves no nulls in payments, so only allocated rows can bring them into a base
     base = ws.final_base if ws.base_loaded else ws.allocated.select(
         *allocate.CELL, "category", "operations", "amount")
     merchant_months = ws.table("merchant_sales").select("period").distinct()
     provinces, months = (ws.base.select(c).distinct() for c in ("province", "period"))
+    malformed = getattr(ws.inputs, "malformed", lambda: None)()
     return checks.check_table([
-        checks.violations(payments, payments_null_rows=any_null(payments.columns),
-                          periods_not_first=F.dayofmonth("period") != 1),
+        *([malformed] if malformed is not None else []),
+        checks.totals(cells, payments_null_rows="null_rows", periods_not_first="undated_rows"),
         checks.violations(learning, platform_null_rows=any_null(learning.columns)),
         checks.violations(base, base_null_rows=any_null(base.columns)),
         checks.violations(missing_plan_months(ws), months_without_plan=any_row),

@@ -10,24 +10,24 @@ from spendlens.operators.ranking import in_latest_month
 from spendlens.plans import tables as t
 from spendlens.plans.workspace import Workspace
 
-# Tables that both channels publish, as functions of (workspace, channel cube).
+# Tables that both channels publish, as functions of (workspace, channel cube, its latest month).
 SHARED = {
-    "summary12": lambda ws, b: t.summary(b),
-    "cat_growth3": lambda ws, b: t.category_growth(b, ws.params, with_december=False),
-    "top7_amount": lambda ws, b: t.top_categories(b, ws.params, "amount"),
-    "top7_ops": lambda ws, b: t.top_categories(b, ws.params, "operations"),
-    "cat_ops": lambda ws, b: t.category_operations(b, ws.params),
-    "plan_share": lambda ws, b: t.plan_shares(b),
-    "plan_share_cmp": lambda ws, b: t.plan_shares_compared(b),
-    "plan_in_cat": lambda ws, b: t.plan_shares_in_category(b, ws.params),
-    "plan_in_cat_last": lambda ws, b: t.plan_shares_in_category_latest(b, ws.params),
-    "ticket": lambda ws, b: t.tickets(b, ws.params),
-    "ticket_ratio": lambda ws, b: t.tickets_with_ratio(b, ws.params),
-    "ticket_month": lambda ws, b: t.tickets_by_month(b),
-    "prov_percap": lambda ws, b: per_capita(b, ws.table("population"), ws.params.recent_from),
-    "region_percap": lambda ws, b: per_capita_by_region(
+    "summary12": lambda ws, b, m: t.summary(b),
+    "cat_growth3": lambda ws, b, m: t.category_growth(b, ws.params, with_december=False, latest=m),
+    "top7_amount": lambda ws, b, m: t.top_categories(b, ws.params, "amount", m),
+    "top7_ops": lambda ws, b, m: t.top_categories(b, ws.params, "operations", m),
+    "cat_ops": lambda ws, b, m: t.category_operations(b, ws.params, m),
+    "plan_share": lambda ws, b, m: t.plan_shares(b),
+    "plan_share_cmp": lambda ws, b, m: t.plan_shares_compared(b, m),
+    "plan_in_cat": lambda ws, b, m: t.plan_shares_in_category(b, ws.params, m),
+    "plan_in_cat_last": lambda ws, b, m: t.plan_shares_in_category_latest(b, ws.params, m),
+    "ticket": lambda ws, b, m: t.tickets(b, ws.params, m),
+    "ticket_ratio": lambda ws, b, m: t.tickets_with_ratio(b, ws.params, m),
+    "ticket_month": lambda ws, b, m: t.tickets_by_month(b),
+    "prov_percap": lambda ws, b, m: per_capita(b, ws.table("population"), ws.params.recent_from),
+    "region_percap": lambda ws, b, m: per_capita_by_region(
         per_capita(b, ws.table("population"), ws.params.recent_from)),
-    "prov_main_cat": lambda ws, b: t.main_category(b),
+    "prov_main_cat": lambda ws, b, m: t.main_category(b, m),
 }
 
 
@@ -38,11 +38,11 @@ def minor_platforms(ws: Workspace) -> DataFrame:
 
 def aggregator_rank(ws: Workspace) -> DataFrame:
     """Aggregators of the latest month with their amounts; published in descending order."""
-    return sums(in_latest_month(ws.aggregator_base), ["aggregator"], "amount")
+    return sums(in_latest_month(ws.aggregator_base, ws.latest("aggregator_base")), ["aggregator"], "amount")
 
 
 def _bound(table, base: str):
-    return lambda ws: table(ws, getattr(ws, base))
+    return lambda ws: table(ws, getattr(ws, base), ws.latest(base))
 
 
 def _channel_tables(channel: str) -> dict:

@@ -1,33 +1,34 @@
-"""Ad-hoc merchant requests: presence, new merchants, counts."""
+"""Ad-hoc merchant requests: presence, new merchants, counts.
+
+All but the rows of new merchants come from the merchants' history and bitmaps, which a run merges with
+the months that changed; see ``Workspace.merchant_history``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day, distinct_count
-from spendlens.operators import checks
-from spendlens.plans.workspace import Workspace
-
-
-def _rows_since(ws: Workspace) -> DataFrame:
-    return ws.table("merchant_sales").filter(F.col("period") >= day(ws.params.recent_from))
+from spendlens.functions.exprs import day
+from spendlens.operators import checks, history
+from spendlens.plans.workspace import MERCHANT, Workspace
 
 
 def merchants_since(ws: Workspace) -> DataFrame:
-    return _rows_since(ws).select("merchant_id").distinct()
+    return history.seen_since(ws.merchant_history, MERCHANT, ws.params.recent_from)
 
 
 def merchants_since_count(ws: Workspace) -> DataFrame:
-    return _rows_since(ws).agg(distinct_count("merchant_id").alias("merchants"))
+    recent = ws.merchant_bitmaps.filter(F.col("period") >= day(ws.params.recent_from))
+    return history.distinct_keys(recent, [], "merchants")
 
 
 def merchants_presence(ws: Workspace) -> DataFrame:
-    return checks.presence(ws.table("merchant_sales"), "merchant_id", ws.params.new_month)
+    return history.presence_of(ws.merchant_history, MERCHANT, ws.params.new_month)
 
 
 def merchants_new(ws: Workspace) -> DataFrame:
-    return checks.new_keys(ws.table("merchant_sales"), "merchant_id", ws.params.new_month)
+    return history.first_seen_in(ws.merchant_history, MERCHANT, ws.params.new_month)
 
 
 def merchants_new_count(ws: Workspace) -> DataFrame:
@@ -35,12 +36,16 @@ def merchants_new_count(ws: Workspace) -> DataFrame:
 
 
 def merchants_new_rows(ws: Workspace) -> DataFrame:
-    new = ws.stage.table("new_merchants", lambda: merchants_new(ws))
-    return checks.rows_of_new_keys(ws.table("merchant_sales"), "merchant_id", ws.params.new_month, new)
+    """The list of new merchants is written: both sides of the join are then plain shuffles, which AQE
+    splits for a hot merchant, and the list is small enough for Spark to build a Bloom filter from it,
+    which drops the rows of other merchants before the shuffle."""
+    month = ws.params.new_month
+    new = ws.stage.table("new_merchants", lambda: merchants_new(ws)).filter(F.col("in_month") == "yes")
+    return checks.rows_of_new_keys(ws.months("merchant_sales", since=month), MERCHANT, month, new)
 
 
 def merchants_total(ws: Workspace) -> DataFrame:
-    return ws.table("merchant_sales").agg(distinct_count("merchant_id").alias("merchants"))
+    return history.distinct_keys(ws.merchant_bitmaps, [], "merchants")
 
 
 TABLES = {

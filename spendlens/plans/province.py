@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions.exprs import day, distinct_count, ratio
 from spendlens.operators.checks import repeated
+from spendlens.operators.history import distinct_keys
 from spendlens.operators.metrics import shares
 from spendlens.operators.ranking import OTHER, top_per_group
 from spendlens.plans import tables as t
@@ -39,9 +40,8 @@ def plan_shares_in_province(ws: Workspace) -> DataFrame:
 
 
 def merchants_by_province(ws: Workspace) -> DataFrame:
-    recent = ws.table("merchant_sales").filter(F.col("period") >= day(ws.params.recent_from))
-    return recent.groupBy("period", "province").agg(
-        distinct_count("merchant_id").alias("merchants"))
+    recent = ws.merchant_bitmaps.filter(F.col("period") >= day(ws.params.recent_from))
+    return distinct_keys(recent, ["period", "province"], "merchants")
 
 
 def registry_rows(ws: Workspace) -> DataFrame:

@@ -51,6 +51,7 @@ BUNDLES = {
 HEADERLESS = ("aggregator_rank",)
 PUBLISHED = {"aggregator_rank": ["aggregator"]}  # columns that are published, if not all
 FROM_BASE = {"monthly", "province", "category", "since", "checks"}  # bundles that need the final base
+FROM_HISTORY = {"province", "merchants"}  # bundles that need the merchants' history or bitmaps
 
 
 def _orders() -> dict[str, list[Column]]:

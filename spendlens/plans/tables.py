@@ -1,10 +1,14 @@
-"""Report tables that several reports share: functions of a deflated base."""
+"""Report tables that several reports share: functions of a deflated base.
+
+``latest`` is the base's last month as a scalar, from the written calendar of a run; without it the base
+is read once more for each use.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlens.functions.exprs import day
@@ -28,8 +32,8 @@ def summary(base: DataFrame) -> DataFrame:
     return growth(sums(base, ["period"], *measures), [], **named)
 
 
-def top_categories(base: DataFrame, params: Params, measure: str) -> DataFrame:
-    return top_items(in_latest_month(base), "category", measure, params.top_categories)
+def top_categories(base: DataFrame, params: Params, measure: str, latest: Column | None = None) -> DataFrame:
+    return top_items(in_latest_month(base, latest), "category", measure, params.top_categories)
 
 
 def top_categories_by_year(base: DataFrame, params: Params, measure: str) -> DataFrame:
@@ -38,13 +42,15 @@ def top_categories_by_year(base: DataFrame, params: Params, measure: str) -> Dat
     return top_per_group(yearly, ["year"], "category", measure, params.top_categories)
 
 
-def category_growth(base: DataFrame, params: Params, with_december: bool) -> DataFrame:
+def category_growth(base: DataFrame, params: Params, with_december: bool,
+                    latest: Column | None = None) -> DataFrame:
     """Top categories and "Other" in the comparison months, with share and growth.
 
     With December the growth columns also compare with the previous December and only the latest
     month shows them.
     """
-    top = top_categories(base, params, "amount")
+    latest = latest_month(base) if latest is None else latest
+    top = top_categories(base, params, "amount", latest)
     buckets = sums(lump_other(base, top, bounded=True), ["period", "bucket"],
                    "amount_real", "amount")
     kinds = ("mom", "yoy", "ytd") if with_december else ("mom", "yoy")
@@ -52,19 +58,18 @@ def category_growth(base: DataFrame, params: Params, with_december: bool) -> Dat
     named |= {kind: ("amount", kind) for kind in kinds}
     grown = growth(shares(buckets, ["period"], share="amount"), ["bucket"], **named).withColumn(
         "share_prev_year", value_at("share", ["bucket"], "yoy"))
-    latest = latest_month(base)
     kept = keep_comparison_months(grown, latest, with_december)
     return mask_before(kept, latest, [*named, "share_prev_year"]) if with_december else kept
 
 
-def category_operations(base: DataFrame, params: Params) -> DataFrame:
-    top = top_categories(base, params, "operations")
+def category_operations(base: DataFrame, params: Params, latest: Column | None = None) -> DataFrame:
+    latest = latest_month(base) if latest is None else latest
+    top = top_categories(base, params, "operations", latest)
     buckets = sums(lump_other(base, top, bounded=True), ["period", "bucket"], "operations")
     grown = growth(shares(buckets, ["period"], share="operations"), ["bucket"],
                    mom=("operations", "mom"), yoy=("operations", "yoy"))
     return keep_comparison_months(
-        grown.withColumn("share_prev_year", value_at("share", ["bucket"], "yoy")),
-        latest_month(base))
+        grown.withColumn("share_prev_year", value_at("share", ["bucket"], "yoy")), latest)
 
 
 def category_shares_by_year(base: DataFrame, params: Params, rank_by: str,
@@ -93,33 +98,35 @@ def plan_shares(base: DataFrame) -> DataFrame:
     return shares(sums(base, ["period", "installments"], "amount"), ["period"], share="amount")
 
 
-def plan_shares_compared(base: DataFrame) -> DataFrame:
-    return keep_comparison_months(plan_shares(base), latest_month(base))
+def plan_shares_compared(base: DataFrame, latest: Column | None = None) -> DataFrame:
+    return keep_comparison_months(plan_shares(base), latest_month(base) if latest is None else latest)
 
 
 def plan_shares_by_year(base: DataFrame, params: Params) -> DataFrame:
     return annual_shares(base, params.years, "installments", share_real="amount_real")
 
 
-def plan_shares_in_category(base: DataFrame, params: Params) -> DataFrame:
-    rows = only_items(base, top_categories(base, params, "amount"))
+def plan_shares_in_category(base: DataFrame, params: Params, latest: Column | None = None) -> DataFrame:
+    rows = only_items(base, top_categories(base, params, "amount", latest))
     return shares(sums(rows, ["period", "category", "installments"], "amount"),
                   ["period", "category"], share="amount")
 
 
-def plan_shares_in_category_latest(base: DataFrame, params: Params) -> DataFrame:
-    return plan_shares_in_category(base, params).filter(F.col("period") == latest_month(base))
+def plan_shares_in_category_latest(base: DataFrame, params: Params, latest: Column | None = None) -> DataFrame:
+    latest = latest_month(base) if latest is None else latest
+    return plan_shares_in_category(base, params, latest).filter(F.col("period") == latest)
 
 
-def tickets(base: DataFrame, params: Params) -> DataFrame:
-    rows = only_items(base, top_categories(base, params, "amount"))
+def tickets(base: DataFrame, params: Params, latest: Column | None = None) -> DataFrame:
+    latest = latest_month(base) if latest is None else latest
+    rows = only_items(base, top_categories(base, params, "amount", latest))
     grown = growth(average_ticket_with_total(rows), ["category", "installments"],
                    mom=("avg_ticket", "mom"), yoy=("avg_ticket", "yoy"))
-    return keep_comparison_months(grown, latest_month(base))
+    return keep_comparison_months(grown, latest)
 
 
-def tickets_with_ratio(base: DataFrame, params: Params) -> DataFrame:
-    return ticket_ratio(tickets(base, params), *params.ratio_plans)
+def tickets_with_ratio(base: DataFrame, params: Params, latest: Column | None = None) -> DataFrame:
+    return ticket_ratio(tickets(base, params, latest), *params.ratio_plans)
 
 
 def tickets_by_month(base: DataFrame) -> DataFrame:
@@ -127,19 +134,19 @@ def tickets_by_month(base: DataFrame) -> DataFrame:
         ratio(F.sum("amount"), F.sum("operations")).alias("avg_ticket"))
 
 
-def place_growth(base: DataFrame, place: str) -> DataFrame:
+def place_growth(base: DataFrame, place: str, latest: Column | None = None) -> DataFrame:
     """Amount, share and growth of each place in the comparison months, growth masked."""
     by_place = shares(sums(base, ["period", place], "amount"), ["period"], share="amount")
     grown = growth(by_place, [place], mom=("amount", "mom"), yoy=("amount", "yoy"),
                    ytd=("amount", "ytd"))
-    latest = latest_month(base)
+    latest = latest_month(base) if latest is None else latest
     return mask_before(keep_comparison_months(grown, latest, True), latest, ["mom", "yoy", "ytd"])
 
 
-def main_category(base: DataFrame) -> DataFrame:
+def main_category(base: DataFrame, latest: Column | None = None) -> DataFrame:
     """The category with the largest amount of each province in the latest month."""
-    latest = sums(in_latest_month(base), ["period", "province", "category"], "amount")
-    return largest_in_group(shares(latest, ["period", "province"], share="amount"),
+    rows = sums(in_latest_month(base, latest), ["period", "province", "category"], "amount")
+    return largest_in_group(shares(rows, ["period", "province"], share="amount"),
                             ["province"], "amount")
 
 

@@ -3,28 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.functions.exprs import day
-from spendlens.operators.allocate import allocate, final_base, reassign_merchants, residual_totals
+from spendlens.operators.allocate import (
+    allocate, final_base, payment_cells, reassign_merchants, residual_cells)
 from spendlens.operators.clean import (
     clean_payments, fill_missing_plan, keep_reported, remap_category)
+from spendlens.operators.history import key_bitmaps, key_history
 from spendlens.operators.metrics import sums
 from spendlens.operators.prices import base_month, deflate, deflator
 from spendlens.operators.weights import (
     backcast_weights, category_weights, early_weights, join_weights, pooled_weights)
 from spendlens.params import Params
-from spendlens.schemas import FINAL_BASE, PLATFORM_WEIGHTS
-from spendlens.sources.sinks import save
+from spendlens.schemas import FINAL_BASE, MERCHANT_BITMAPS, MERCHANT_HISTORY, PLATFORM_WEIGHTS
+from spendlens.sources.months import SavedMonths, digests, month_digests
 from spendlens.sources.staging import Stage
 
 
+MERCHANT = "merchant_id"
+MERCHANT_CELL = ("period", "province", "category")
+
+
 class Inputs(Protocol):
-    """Gives each table of ``spendlens.schemas.INPUTS`` by name."""
+    """Gives each table of ``spendlens.schemas.INPUTS`` by name.
+
+    An input may also have ``months(name, since, until)``, which leaves out at least what a scan can.
+    """
 
     def table(self, name: str) -> DataFrame: ...
 
@@ -49,13 +59,32 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return self.inputs.table(name)
 
-    def save_base(self, folder: str) -> None:
-        """Save the two tables that later runs can start from, and go on from the saved copy."""
-        save(self.weights, f"{folder}/platform_weights")
-        save(self.final_base, f"{folder}/final_base", partition_by="period")
-        cutoff = self.spark.createDataFrame([(self.params.cutoff,)], "cutoff string")
-        save(cutoff.coalesce(1), f"{folder}/base_run")
+    def months(self, name: str, since: str | None = None, until: str | None = None) -> DataFrame:
+        """The rows of a table in a range of months, as early in the scan as its source can tell."""
+        source = getattr(self.inputs, "months", None)
+        rows = source(name, since, until) if source else self.table(name)
+        if since is not None:
+            rows = rows.filter(F.col("period") >= day(since))
+        return rows if until is None else rows.filter(F.col("period") <= day(until))
+
+    def save_base(self, folder: str) -> list[date]:
+        """Bring the saved weights and final base up to date and go on from them; the months written.
+
+        A month is written anew if its clean payments or its weights differ from those it was saved
+        with. The others are not allocated or written again, and their files stay.
+        """
+        saved, p = SavedMonths(self.spark, folder, "base", "final_base"), self.params
+        weights, salt = digests(self.weights), f"{sorted(p.residual_categories)} {p.allocated_brand}"
+        payments = month_digests(self.payment_cells.filter("clean_rows > 0"), F.sum("clean_rows"), F.col("digest"))
+        digest = {m: f"{d} {weights.get(m)} {salt}" for m, d in payments.items()}
+        written = saved.changed(digest)
+        changed = F.col("period").isin(written)
+        spread = allocate(self.residual.filter(changed), self.weights)
+        rows = final_base(self.clean.filter(changed), spread, p.residual_categories, p.allocated_brand)
+        cutoff = self.spark.createDataFrame([(p.cutoff,)], "cutoff string")
+        saved.save(rows.select(*FINAL_BASE.names), digest, platform_weights=self.weights, run=cutoff.coalesce(1))
         self.load_base(folder)
+        return written
 
     def load_base(self, folder: str) -> Workspace:
         """Start from saved weights and final base; payments and platform sales stay unread
@@ -64,16 +93,32 @@ class Workspace:
         The cutoff of this run may be earlier than that of the saved base, which is then read up to
         it, but not later.
         """
-        read, cutoff = self.spark.read, self.params.cutoff
-        saved = read.schema("cutoff string").parquet(f"{folder}/base_run").first().cutoff
-        if cutoff > saved:
-            raise ValueError(f"the base in {folder} ends with {saved}, before the cutoff {cutoff}")
-        self.weights = read.schema(PLATFORM_WEIGHTS).parquet(f"{folder}/platform_weights")
-        self.final_base = read.schema(FINAL_BASE).parquet(f"{folder}/final_base").select(
-            *FINAL_BASE.names).filter(F.col("period") <= day(cutoff))
+        saved, cutoff = SavedMonths(self.spark, folder, "base", "final_base"), self.params.cutoff
+        end = saved.whole("run", "cutoff string").first().cutoff
+        if cutoff > end:
+            raise ValueError(f"the base in {folder} ends with {end}, before the cutoff {cutoff}")
+        self.weights = saved.whole("platform_weights", PLATFORM_WEIGHTS)
+        self.final_base = saved.read(FINAL_BASE).filter(F.col("period") <= day(cutoff))
         self.base_loaded = True
         return self
 
+    def save_merchants(self, folder: str) -> list[date]:
+        """Merge the months that have changed into the saved merchant history and bitmaps, and go on
+        from them; the months merged."""
+        saved = SavedMonths(self.spark, folder, "merchants", "merchant_bitmaps")
+        sales = self.table("merchant_sales")
+        digest = digests(sales)
+        changed = sorted({*saved.changed(digest), *(saved.months.keys() - digest.keys())}, key=str)
+        undated = F.col("period").isNull() if None in changed else F.lit(False)
+        rows = sales.filter(F.col("period").isin([m for m in changed if m]) | undated)
+        history = saved.whole("merchant_history", MERCHANT_HISTORY) if saved.version else None
+        history = self.stage.table("merchant_history", lambda: key_history(
+            rows, MERCHANT, MERCHANT_CELL[1:], self.stage.table, history, changed))
+        saved.save(key_bitmaps(rows, history, MERCHANT, MERCHANT_CELL), digest, merchant_history=history)
+        self.merchant_history = saved.whole("merchant_history", MERCHANT_HISTORY)
+        self.merchant_bitmaps = saved.read(MERCHANT_BITMAPS)
+        return changed
+
     # --- weights ---------------------------------------------------------------------------
 
     @cached_property
@@ -84,7 +129,9 @@ class Workspace:
 
     @cached_property
     def learning_raw(self) -> DataFrame:
-        return keep_reported(self.dominant_sales, self.params.cutoff, self.params.plans)
+        sales = self.months("platform_sales", until=self.params.cutoff)
+        return keep_reported(sales.filter(F.col("platform") == self.params.dominant_platform),
+                             self.params.cutoff, self.params.plans)
 
     @cached_property
     def learning_cells(self) -> DataFrame:
@@ -133,11 +180,19 @@ class Workspace:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return clean_payments(self.table("payments"), self.params.cutoff, self.params.plans)
+        return clean_payments(self.months("payments", until=self.params.cutoff), self.params.cutoff,
+                              self.params.plans)
+
+    @cached_property
+    def payment_cells(self) -> DataFrame:
+        """The one pass over all payments, those after the cutoff included, for the checks count them."""
+        p = self.params
+        return self.stage.table("payment_cells", lambda: payment_cells(
+            self.table("payments"), p.cutoff, p.plans, p.residual_categories))
 
     @cached_property
     def residual(self) -> DataFrame:
-        return residual_totals(self.clean, self.params.residual_categories)
+        return residual_cells(self.payment_cells)
 
     @cached_property
     def allocated(self) -> DataFrame:
@@ -169,6 +224,14 @@ class Workspace:
             rows(), ["period", *dimensions, "province", "category", "installments"],
             "amount", "operations"), self.deflator))
 
+    def latest(self, cube: str) -> Column:
+        """The last month of a cube, as a scalar from a written calendar of one row.
+
+        Reports compare with it many times; a subquery over the cube would read the cube each time.
+        """
+        months = self.stage.table(f"{cube}_calendar", lambda: getattr(self, cube).agg(F.max("period").alias("latest")))
+        return months.scalar()
+
     @cached_property
     def base(self) -> DataFrame:
         """Cube of the final base, categories merged."""
@@ -176,7 +239,8 @@ class Workspace:
 
     @cached_property
     def platform_rows(self) -> DataFrame:
-        return keep_reported(self.table("platform_sales"), self.params.cutoff, self.params.plans)
+        return keep_reported(self.months("platform_sales", until=self.params.cutoff), self.params.cutoff,
+                             self.params.plans)
 
     @cached_property
     def other_aggregators(self) -> DataFrame:
@@ -185,7 +249,9 @@ class Workspace:
 
     @cached_property
     def aggregator_rows(self) -> DataFrame:
-        return keep_reported(self.other_aggregators, self.params.cutoff, self.params.plans)
+        sales = self.months("aggregator_sales", until=self.params.cutoff)
+        return keep_reported(sales.filter(F.col("aggregator") != self.params.dominant_aggregator),
+                             self.params.cutoff, self.params.plans)
 
     def _channel_names(self, rows: DataFrame) -> DataFrame:
         return remap_category(remap_category(rows, self.params.merges), self.params.synonyms)
@@ -202,6 +268,18 @@ class Workspace:
 
     # --- merchants -------------------------------------------------------------------------
 
+    @cached_property
+    def merchant_history(self) -> DataFrame:
+        """One row per merchant with the months it sold in; written, as the bitmaps need its numbers."""
+        return self.stage.table("merchant_history", lambda: key_history(
+            self.table("merchant_sales"), MERCHANT, MERCHANT_CELL[1:], self.stage.table))
+
+    @cached_property
+    def merchant_bitmaps(self) -> DataFrame:
+        """The merchants of every month, province and category: all distinct counts start from it."""
+        return self.stage.table("merchant_bitmaps", lambda: key_bitmaps(
+            self.table("merchant_sales"), self.merchant_history, MERCHANT, MERCHANT_CELL))
+
     @cached_property
     def merchant_base(self) -> DataFrame:
         """Merchant sales after reassignment and merging of categories; as large as the input,

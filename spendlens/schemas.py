@@ -33,6 +33,9 @@ PLATFORM_WEIGHTS = _struct(period=_DATE, platform=_TEXT, category=_TEXT, install
                            operations=_LONG, amount=T.DecimalType(38, 4),
                            share_operations=_DOUBLE, share_amount=_DOUBLE)
 FINAL_BASE = PAYMENTS
+MERCHANT_HISTORY = _struct(merchant_id=_LONG, months=T.ArrayType(_INT), first_period=_DATE, last_period=_DATE,
+                           number=_LONG)
+MERCHANT_BITMAPS = _struct(period=_DATE, province=_TEXT, category=_TEXT, bucket=_LONG, keys=T.BinaryType())
 
 INPUTS = {
     "payments": PAYMENTS,

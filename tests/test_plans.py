@@ -90,14 +90,49 @@ def test_only_leading_merchants_meet_the_registry(ws):
 
 
 def test_distinct_counts_are_preaggregated(ws):
-    text = plan(TABLES["merchants_prov"](ws))
+    text = plan(TABLES["registry_locality"](ws))
     assert "partial_count" in text and "Exchange hashpartitioning" in text
 
 
-def test_reconciling_reads_the_payments_once(ws):
-    for name, scans in (("reconcile", 1), ("checks", 2)):
+@pytest.mark.parametrize("name", ["merchants_prov", "merchants_since_count", "merchants_total"])
+def test_distinct_merchants_are_merged_bitmaps(ws, name):
+    text = plan(TABLES[name](ws))
+    assert "partial_bitmap_or_agg" in text and "merchant_id" not in text
+    assert re.search(r"FileScan parquet \[[^\]]*\][^\n]*/merchant_bitmaps\]", text)
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("merchants_since", "GreaterThanOrEqual(last_period"), ("merchants_presence", "LessThanOrEqual(first_period"),
+    ("merchants_new", "EqualTo(first_period")])
+def test_merchant_lists_read_the_history_alone(ws, name, pushed):
+    text = plan(TABLES[name](ws))
+    assert "merchant_history]" in text and "Exchange" not in text and "/merchant_sales]" not in text
+    assert pushed in text
+
+
+def test_comparison_months_come_from_the_calendar(ws):
+    for name, most in (("cat_growth5", 3), ("cat_growth5_year", 4)):
+        text = plan(TABLES[name](ws))
+        reads = re.findall(r"FileScan parquet \[[^\]]*\][^\n]*/base_cube\]", text)
+        assert 0 < len(reads) <= most, name
+        assert "base_calendar]" in text
+
+
+def test_reconciling_and_checks_read_the_cells_of_the_payments(ws):
+    for name in ("reconcile", "checks", "residual"):
         text = plan(TABLES[name](ws))
-        assert len(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*/payments\]", text)) == scans, name
+        assert "/payments]" not in text and "/payment_cells]" in text, name
+
+
+def test_payments_are_summed_in_one_scan(spark, small_dir):
+    ws = Workspace(spark, RetailInputs(spark, small_dir, Stage(spark)), PARAMS)
+    ws.table("payments")
+    built = {}
+    ws.stage.table = lambda key, build, **_: built.setdefault(key, build())
+    ws.payment_cells
+    text = plan(built["payment_cells"])
+    assert len(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*/payments\]", text)) == 1
+    assert "partial_sum" in text
 
 
 @pytest.mark.parametrize("name", ["base", "platform_base", "aggregator_base"])
