@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,30 +22,38 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance:
 
 
 def compare_sums(rows: DataFrame, keys: Sequence[str], tolerance: float = 0.01,
-                 names: tuple[str, str] = ("clean", "raw")) -> DataFrame:
+                 names: tuple[str, str] = ("clean", "raw"), counts: Sequence[str] = ()) -> DataFrame:
     """Sums of the measures of two sides, which are columns of the same rows, with equality flags.
 
     Amounts are equal up to ``tolerance`` for the rounding of their parts, plus double precision.
     One aggregation instead of two and a full join: one shuffle, and a key that only one side has
-    shows nulls on the other.
+    shows nulls on the other. ``counts`` names further columns to sum.
     """
     a, b = names
     amounts = (F.col(f"amount_{a}") - F.col(f"amount_{b}")).cast("double")
     allowed = F.lit(tolerance) + F.abs(F.col(f"amount_{b}").cast("double")) * 1e-12
     return (rows.groupBy(*keys)
-            .agg(*[F.sum(f"{m}_{n}").alias(f"{m}_{n}") for n in names for m in ("amount", "operations")])
+            .agg(*[F.sum(f"{m}_{n}").alias(f"{m}_{n}") for n in names for m in ("amount", "operations")],
+                 *[F.sum(c).alias(c) for c in counts])
             .withColumn("amount_equal", F.abs(amounts) <= allowed)
             .withColumn("operations_equal",
                         F.col(f"operations_{a}") == F.col(f"operations_{b}"))
             .withColumn("operations_diff", F.col(f"operations_{a}") - F.col(f"operations_{b}")))
 
 
+def membership(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Which of several tables hold each key, as flags named after them; null is a key like any other.
+
+    One shuffle for all tables, of one row per key and task.
+    """
+    marked = [df.select(*keys, F.lit(name).alias("_table")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, marked).groupBy(*keys).agg(
+        *[F.max(F.col("_table") == name).alias(name) for name in tables])
+
+
 def coverage(left: DataFrame, right: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
     """Which keys appear in which of two tables, as flags."""
-    a, b = names
-    marked = (left.select(key, F.lit(True).alias(a), F.lit(False).alias(b))
-              .unionByName(right.select(key, F.lit(False).alias(a), F.lit(True).alias(b))))
-    return marked.groupBy(key).agg(F.max(a).alias(a), F.max(b).alias(b))
+    return membership(dict(zip(names, (left, right))), [key])
 
 
 def presence(df: DataFrame, key: str, month: str) -> DataFrame:
@@ -87,10 +95,10 @@ def violations(df: DataFrame, **conditions: Column) -> DataFrame:
     return counted.unpivot([], list(conditions), "check", "violations")
 
 
-def totals(df: DataFrame, **columns: str) -> DataFrame:
-    """(check, violations) from columns that hold numbers of violations."""
-    summed = df.agg(*[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in columns.items()])
-    return summed.unpivot([], list(columns), "check", "violations")
+def totals(df: DataFrame, **numbers: Column) -> DataFrame:
+    """(check, violations) from aggregates that are numbers of violations."""
+    summed = df.agg(*[F.coalesce(number.cast("long"), F.lit(0)).alias(name) for name, number in numbers.items()])
+    return summed.unpivot([], list(numbers), "check", "violations")
 
 
 def check_table(tables: Sequence[DataFrame]) -> DataFrame:

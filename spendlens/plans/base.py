@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spendlens.functions.exprs import any_null, not_in
+from spendlens.functions.exprs import any_null, day
 from spendlens.operators import allocate, checks, weights
-from spendlens.plans.weights import category_coverage, missing_plan_months, weights_overlap
+from spendlens.operators.clean import remap_category
 from spendlens.plans.workspace import Workspace
 
 
@@ -30,60 +31,108 @@ def residual_weight_sum(ws: Workspace) -> DataFrame:
         *[F.round(F.sum(c), 6).alias(c) for c in weights.WEIGHT_SHARES])
 
 
-def reconcile(ws: Workspace) -> DataFrame:
-    """Final base against clean payments, without reading the payments again.
+def _both_sides(ws: Workspace) -> DataFrame:
+    """Final base and clean payments as columns of the same rows, with the numbers of faulty rows.
 
-    A base that was not loaded is the classified payments plus the allocated rows, and the cells of the
-    payments hold both sums.
+    The payments are not read: their cells hold the sums of all, and of the classified rows. A base that
+    was not loaded is those plus the allocated rows.
     """
-    cells = ws.payment_cells.filter("clean_rows > 0")
+    cells, allocated = ws.payment_cells, ws.allocated
+    money = cells.schema["amount"].dataType
+    raw = cells.select(*allocate.CELL, *[F.col(m).alias(f"{m}_raw") for m in MEASURES],
+                       *([] if ws.base_loaded else [F.col(f"{m}_classified").alias(f"{m}_clean") for m in MEASURES]),
+                       "clean_rows", "null_rows", "undated_rows")
+    lost = F.col("category").isNull()
+    spread = allocated.select(
+        *allocate.CELL, lost.cast("long").alias("lost_rows"), F.when(lost, F.col("amount_total")).alias("lost_amount"),
+        *([] if ws.base_loaded else _base_side(allocated, money)))
+    sides = raw.unionByName(spread, allowMissingColumns=True)
     if ws.base_loaded:
-        return checks.reconcile(ws.final_base, cells.select(*allocate.CELL, *MEASURES), allocate.CELL)
-    paid = cells.select(*allocate.CELL, *[F.col(f"{m}_classified").alias(f"{m}_clean") for m in MEASURES],
-                        *[F.col(m).alias(f"{m}_raw") for m in MEASURES])
-    spread = ws.allocated.select(
-        *allocate.CELL, F.col("amount").cast(paid.schema["amount_clean"].dataType).alias("amount_clean"),
-        F.col("operations").alias("operations_clean"))
-    return checks.compare_sums(paid.unionByName(spread, allowMissingColumns=True), allocate.CELL)
+        sides = sides.unionByName(ws.final_base.select(*allocate.CELL, *_base_side(ws.final_base, money)),
+                                  allowMissingColumns=True)
+    return checks.compare_sums(sides, allocate.CELL, counts=(
+        "clean_rows", "null_rows", "undated_rows", "lost_rows", "lost_amount", "base_rows", "base_null_rows"))
+
+
+def _base_side(rows: DataFrame, money: T.DataType) -> list[Column]:
+    """Rows of a base as one side: cleaning leaves no nulls in payments, but allocated rows may hold some."""
+    return [F.col("amount").cast(money).alias("amount_clean"), F.col("operations").alias("operations_clean"),
+            F.lit(1).alias("base_rows"),
+            any_null([*allocate.CELL, "category", *MEASURES]).cast("long").alias("base_null_rows")]
+
+
+def _compared() -> Column:
+    """Cells that either side has; others hold faulty payments only."""
+    return (F.coalesce("clean_rows", F.lit(0)) > 0) | (F.coalesce("base_rows", F.lit(0)) > 0)
+
+
+def reconcile(ws: Workspace) -> DataFrame:
+    """Final base against clean payments."""
+    return _both_sides(ws).filter(_compared()).drop(
+        "clean_rows", "null_rows", "undated_rows", "lost_rows", "lost_amount", "base_rows", "base_null_rows")
+
+
+def _months(ws: Workspace) -> DataFrame:
+    """Which tables hold each month."""
+    p, cells, observed = ws.params, ws.learning_cells, ws.weights_observed
+    after = F.col("period") > day(p.fill_after)
+    past = F.col("period").between(day(p.backcast_from), day(p.backcast_to)) & (F.dayofmonth("period") == 1)
+    return checks.membership({
+        "base": ws.base, "indexed": ws.table("price_index"), "sold": ws.table("merchant_sales"), "weighted": ws.weights,
+        "learnt": cells.filter(after), "planned": cells.filter(after & (F.col("installments") == p.fill_plan)),
+        "early": observed.filter(F.col("period") <= day(p.early_until)),
+        "twice": observed.filter((F.col("period") >= day(p.actual_from)) & past),
+    }, ["period"])
+
+
+def _names(ws: Workspace) -> DataFrame:
+    """Which tables hold each category and province."""
+    def named(kind: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.col(kind).alias("name"))
+
+    return checks.membership({
+        "observed": named("category", remap_category(ws.learning_cells, ws.params.synonyms)),
+        "listed": named("category", ws.table("category_list")),
+        "used": named("province", ws.base), "counted": named("province", ws.table("population")),
+    }, ["kind", "name"])
 
 
 def checks_table(ws: Workspace) -> DataFrame:
     """One row per invariant with its number of violations; lost spend is an amount.
 
-    Text inputs with malformed lines add a row each.
+    Each invariant is a condition on the rows of one of a few tables that hold all sides of it: cells,
+    months, names, weights. So a written table is read once or twice, and payments not at all. Text
+    inputs with malformed lines add a row each.
     """
-    any_row = F.lit(True)
+    shares = ws.weights.groupBy("period", "installments").agg(
+        *[F.round(F.sum(c), 6).alias(c) for c in weights.WEIGHT_SHARES],
+        F.min("platform").alias("first"), F.max("platform").alias("last"))
     off_one = (F.abs(F.col("share_operations") - 1) > 1e-6) | (F.abs(F.col("share_amount") - 1) > 1e-6)
-    cells, learning = ws.payment_cells, ws.learning_raw
-    # cleaning leaves no nulls in payments, so only allocated rows can bring them into a base
-    base = ws.final_base if ws.base_loaded else ws.allocated.select(
-        *allocate.CELL, "category", "operations", "amount")
-    merchant_months = ws.table("merchant_sales").select("period").distinct()
-    provinces, months = (ws.base.select(c).distinct() for c in ("province", "period"))
+    no = F.lit(False)
+    single = F.coalesce(F.min("first") == F.max("last"), no)
+    category, province = F.col("kind") == "category", F.col("kind") == "province"
     malformed = getattr(ws.inputs, "malformed", lambda: None)()
     return checks.check_table([
         *([malformed] if malformed is not None else []),
-        checks.totals(cells, payments_null_rows="null_rows", periods_not_first="undated_rows"),
-        checks.violations(learning, platform_null_rows=any_null(learning.columns)),
-        checks.violations(base, base_null_rows=any_null(base.columns)),
-        checks.violations(missing_plan_months(ws), months_without_plan=any_row),
-        checks.violations(single_platform(ws), several_platforms=~F.col("single")),
-        checks.violations(weights.weight_sums(ws.weights), weights_off_one=off_one),
-        checks.violations(weights_overlap(ws), weights_overlap=F.col("overlap")),
-        checks.violations(ws.allocated, residual_without_weight=F.col("category").isNull()),
-        ws.allocated.filter(F.col("category").isNull()).agg(
-            F.lit("residual_amount_lost").alias("check"),
-            F.coalesce(F.round(F.sum("amount_total")).cast("long"), F.lit(0)).alias("violations")),
-        checks.violations(months.join(ws.table("price_index"), "period", "left_anti"),
-                          months_without_index=any_row),
-        checks.violations(reconcile(ws),
-                          amounts_off=~F.coalesce("amount_equal", F.lit(False))),
-        checks.violations(category_coverage(ws), category_unlisted=~F.col("listed"),
-                          category_unobserved=~F.col("observed")),
-        checks.violations(merchant_months.join(ws.weights.select("period").distinct(), "period", "left_anti"),
-                          merchant_months_without_weight=any_row),
-        checks.violations(provinces.join(ws.table("population"), "province", "left_anti"),
-                          province_without_population=any_row),
+        checks.totals(
+            _both_sides(ws),
+            payments_null_rows=F.sum("null_rows"), periods_not_first=F.sum("undated_rows"),
+            base_null_rows=F.sum("base_null_rows"), residual_without_weight=F.sum("lost_rows"),
+            residual_amount_lost=F.round(F.sum("lost_amount")),
+            amounts_off=F.count_if(_compared() & ~F.coalesce("amount_equal", no))),
+        checks.totals(
+            _months(ws),
+            months_without_plan=F.count_if(F.col("learnt") & ~F.col("planned")),
+            months_without_index=F.count_if(F.col("base") & ~F.col("indexed")),
+            merchant_months_without_weight=F.count_if(F.col("sold") & ~F.col("weighted")),
+            weights_overlap=F.bool_or("twice") & F.bool_or("early")),
+        checks.totals(
+            _names(ws),
+            category_unlisted=F.count_if(category & ~F.col("listed")),
+            category_unobserved=F.count_if(category & ~F.col("observed")),
+            province_without_population=F.count_if(province & ~F.col("counted") & F.col("used"))),
+        checks.totals(shares, weights_off_one=F.count_if(off_one), several_platforms=~single),
+        checks.totals(ws.learning_counts, platform_null_rows=F.sum("null_rows")),
     ])
 
 

@@ -10,7 +10,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.functions.exprs import day
+from spendlens.functions.exprs import any_null, day
 from spendlens.operators.allocate import (
     allocate, final_base, payment_cells, reassign_merchants, residual_cells)
 from spendlens.operators.clean import (
@@ -133,13 +133,19 @@ class Workspace:
         return keep_reported(sales.filter(F.col("platform") == self.params.dominant_platform),
                              self.params.cutoff, self.params.plans)
 
+    @cached_property
+    def learning_counts(self) -> DataFrame:
+        """The learning rows summed over their dimensions, with the number of rows that hold a null."""
+        rows, measures = self.learning_raw, ("operations", "amount")
+        return self.stage.table("learning_cells", lambda: rows.groupBy(
+            "period", "platform", "province", "category", "installments").agg(
+            *[F.sum(m).alias(m) for m in measures], F.count_if(any_null(rows.columns)).alias("null_rows")))
+
     @cached_property
     def learning_cells(self) -> DataFrame:
         """The learning rows summed over their dimensions: bounded, and read instead of the rows
         by everything that sums, counts or lists them."""
-        return self.stage.table("learning_cells", lambda: sums(
-            self.learning_raw, ["period", "platform", "province", "category", "installments"],
-            "operations", "amount"))
+        return self.learning_counts.drop("null_rows")
 
     def _filled(self, rows: DataFrame) -> DataFrame:
         return fill_missing_plan(rows, self.params.fill_plan, self.params.fill_after,
