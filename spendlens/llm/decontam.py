@@ -8,12 +8,16 @@ of its values must stand for one value of the document throughout the passage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlens.llm.common import column, id_and_text, staged, unpacked, whole_row
 
 WORDS = 8  # words of a window
+INSIDE = 4  # words of the shortest item that is looked for inside a text
+PAIR = ("doc_id", "item_id", "length")
 COVERED = 0.5  # share of an item's words that its windows must cover in a document
 MAX_BROADCAST_WINDOWS = 1_000_000  # 24 bytes each; more of them are joined by a shuffle
 
@@ -109,16 +113,34 @@ def _item_windows(items: DataFrame, size: int, names: bool) -> DataFrame:
                     "item_id", "item_at", "length").distinct())
 
 
+def _passages(hits: DataFrame, size: int, covered: float) -> DataFrame:
+    """(PAIR, chain, parts, covered): the passages of a document that cover enough of an item's words.
+
+    A part is what matches at one shift between document and item. Where words are put in or left out,
+    the shift changes by a little, so parts whose shifts lie at most ``size`` apart make one passage.
+    """
+    place = Window.partitionBy(*PAIR).orderBy("shift")
+    parts = (hits.groupBy(*PAIR, "shift").agg(F.collect_set("word").alias("words"))
+             .withColumn("apart", F.col("shift") - F.lag("shift").over(place) > size)
+             .withColumn("chain", F.sum(F.coalesce(F.col("apart"), F.lit(False)).cast("int")).over(place)))
+    words = F.array_distinct(F.flatten(F.col("parts.words")))
+    return (parts.groupBy(*PAIR, "chain").agg(F.collect_list(F.struct("shift", "words")).alias("parts"))
+            .withColumn("found", words).withColumn("covered", F.size("found"))
+            .filter(F.col("covered") >= covered * F.col("length")))
+
+
 def _consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Alignments with the number of slots and of changed values; those where one value of the item
-    stands for two values of the document are left out."""
+    """Passages with the number of slots they cover and of changed values; those where one value of the
+    item stands for two values of the document are left out. A slot that two parts cover is read where
+    the larger one puts it."""
     slots = F.filter(
         F.transform(template(F.col("words"), True),
                     lambda kind, at: F.struct(kind.alias("kind"), at.alias("at"),
                                               F.lower(F.translate(F.get("words", at), MARK, "")).alias("value"))),
         lambda s: s["kind"].isin(NUMBER, UNIT, NAME))
     slots = items.select("item_id", "length", slots.alias("slots"))
-    found = staged(found.join(slots, ["item_id", "length"]), "alignments")
+    held = F.filter("slots", lambda s: F.array_contains("found", s["at"]))
+    found = staged(found.join(slots, ["item_id", "length"]).withColumn("slots", held).drop("found"), "passages")
     plain = found.filter(F.size("slots") == 0).select(
         "doc_id", "item_id", "length", "covered", F.lit(0).alias("slots"), F.lit(0).alias("changed"))
     open_ = found.filter(F.size("slots") > 0)
@@ -127,17 +149,18 @@ def _consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFram
     words = (docs.join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
              .select("doc_id", marked_words(F.col("text")).alias("doc_words")))
 
-    def value(slot: Column) -> Column:
-        at = slot["at"] + F.col("shift")
-        word = F.when(at >= 0, F.get("doc_words", at))
-        return F.struct(slot["kind"].alias("kind"), slot["value"].alias("item"),
-                        F.lower(F.translate(word, MARK, "")).alias("doc"))
-
-    key = ["doc_id", "item_id", "length", "shift", "covered"]
-    pairs = open_.join(words, "doc_id").select(
-        *key, F.explode(F.transform("slots", value)).alias("slot"))
-    checked = (pairs.groupBy(*key, "slot.kind", "slot.item")
-               .agg(F.count_distinct("slot.doc").alias("values"), F.min("slot.doc").alias("value"))
+    key = [*PAIR, "chain", "covered"]
+    parts = open_.select(*key, "slots", F.explode("parts").alias("part"))
+    slots = parts.select(*key, "part", F.explode("slots").alias("slot")).filter(
+        F.array_contains("part.words", F.col("slot.at")))
+    word = F.get("doc_words", F.col("slot.at") + F.col("part.shift"))
+    valued = slots.join(words, "doc_id").select(
+        *key, "slot.kind", F.col("slot.at").alias("at"), F.col("slot.value").alias("item"),
+        F.lower(F.translate(word, MARK, "")).alias("doc"),
+        F.struct(F.size("part.words"), -F.col("part.shift")).alias("weight"))
+    checked = (valued.groupBy(*key, "kind", "item", "at").agg(F.max_by("doc", "weight").alias("doc"))
+               .groupBy(*key, "kind", "item")
+               .agg(F.count_distinct("doc").alias("values"), F.min("doc").alias("value"))
                .groupBy(*key).agg(F.max("values").alias("most"), F.count(F.lit(1)).cast("int").alias("slots"),
                                   F.sum((F.col("value") != F.col("item")).cast("int")).cast("int").alias("changed"))
                .filter("most <= 1"))
@@ -149,11 +172,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  covered: float = COVERED) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, coverage, slots, changed.
 
-    ``coverage`` is the share of the item's words that lie in windows of one alignment, ``slots`` the
-    number of distinct numbers, units and names of the item, ``changed`` how many of them the document
+    ``coverage`` is the share of the item's words that lie in matching windows of one passage, ``slots``
+    the number of distinct numbers, units and names among them, ``changed`` how many of them the document
     gives another value. Of several passages of a document the best counts. An item of fewer than
-    ``size`` words matches documents that consist of it alone. Null and empty texts, items without
-    words and empty tables match nothing; repeated rows give one row; other columns are not read.
+    ``size`` words is looked for as a whole, and one of fewer than ``INSIDE`` words matches documents
+    that consist of it alone. Null and empty texts, items without words and empty tables match nothing;
+    repeated rows give one row; other columns are not read.
     """
     docs = id_and_text(docs, id_col, text_col)
     items = staged(_items(id_and_text(benchmark, item_id_col, item_text_col), size), "items")
@@ -164,16 +188,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keys = staged(keys, "item_windows")
     if keys.count() <= MAX_BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
+    short = items.filter(F.col("length").between(INSIDE, size - 1)).select("length").distinct().collect()
+    of_docs = reduce(DataFrame.unionByName, [windows(docs, n, names) for n in (size, *sorted(r.length for r in short))])
     offsets = F.sequence(F.col("item_at"), F.least(F.col("item_at") + size, F.col("length")) - 1)
-    found = (windows(docs, size, names).join(keys, "window")
-             .select("doc_id", "item_id", "length", (F.col("at") - F.col("item_at")).alias("shift"),
-                     F.explode(offsets).alias("word"))
-             .groupBy("doc_id", "item_id", "length", "shift")
-             .agg(F.count_distinct("word").alias("covered"))
-             .filter(F.col("covered") >= covered * F.col("length")))
+    hits = (of_docs.join(keys, "window")
+            .select("doc_id", "item_id", "length", (F.col("at") - F.col("item_at")).alias("shift"),
+                    F.explode(offsets).alias("word")))
     best = F.max(F.struct((F.col("covered") / F.col("length")).alias("coverage"), "slots", "changed"))
-    return (_consistent(found, docs, items).groupBy("doc_id", "item_id").agg(best.alias("best"))
-            .select("doc_id", "item_id", "best.coverage", "best.slots", "best.changed"))
+    return (_consistent(_passages(hits, size, covered), docs, items).groupBy("doc_id", "item_id")
+            .agg(best.alias("best")).select("doc_id", "item_id", "best.coverage", "best.slots", "best.changed"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -215,31 +238,38 @@ dt AS (SELECT doc_id, words, {_sql_template(False)} AS t FROM d WHERE len(words)
        UNION ALL SELECT doc_id, words, {_sql_template(True)} AS t FROM d WHERE len(words) > 0),
 it AS (SELECT item_id, length, {_sql_template(False)} AS t FROM items
        UNION ALL SELECT item_id, length, {_sql_template(True)} AS t FROM items),
-da AS (SELECT doc_id, t, unnest(range(greatest(len(t) - {WORDS}, 0) + 1)) AS p FROM dt),
+sizes AS (SELECT {WORDS} AS size UNION SELECT length FROM items WHERE length BETWEEN {INSIDE} AND {WORDS} - 1),
+da AS (SELECT doc_id, t, size, unnest(range(greatest(len(t) - size, 0) + 1)) AS p FROM dt, sizes),
 ia AS (SELECT item_id, length, t, unnest(range(greatest(len(t) - {WORDS}, 0) + 1)) AS p FROM it),
-dw AS (SELECT DISTINCT doc_id, p, array_to_string(list_slice(t, p + 1, p + {WORDS}), ' ') AS w FROM da),
+dw AS (SELECT DISTINCT doc_id, p, array_to_string(list_slice(t, p + 1, p + size), ' ') AS w FROM da),
 iw AS (SELECT DISTINCT item_id, length, p, array_to_string(list_slice(t, p + 1, p + {WORDS}), ' ') AS w FROM ia
        WHERE 2 * len(list_filter(list_slice(t, p + 1, p + {WORDS}), lambda x: x NOT IN ('{NUMBER}', '{UNIT}', '{NAME}')))
              >= len(list_slice(t, p + 1, p + {WORDS}))),
 hits AS (SELECT doc_id, item_id, length, dw.p - iw.p AS shift,
                 unnest(range(iw.p, least(iw.p + {WORDS}, length))) AS word
          FROM dw JOIN iw USING (w)),
-found AS (SELECT doc_id, item_id, length, shift, count(DISTINCT word) AS covered FROM hits
-          GROUP BY ALL HAVING count(DISTINCT word) >= {COVERED} * length),
+parts AS (SELECT doc_id, item_id, length, shift, list_distinct(list(word)) AS words FROM hits GROUP BY ALL),
+apart AS (SELECT *, shift - lag(shift) OVER (PARTITION BY doc_id, item_id, length ORDER BY shift) > {WORDS} AS far
+          FROM parts),
+chained AS (SELECT *, sum(CASE WHEN far THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY doc_id, item_id, length ORDER BY shift) AS chain FROM apart),
+found AS (SELECT doc_id, item_id, length, chain, len(list_distinct(flatten(list(words)))) AS covered FROM chained
+          GROUP BY ALL HAVING len(list_distinct(flatten(list(words)))) >= {COVERED} * length),
 slots AS (SELECT item_id, length, unnest(range(length)) AS p, words, {_sql_template(True)} AS t FROM items),
-pairs AS (SELECT f.doc_id, f.item_id, f.length, f.shift, f.covered, t[p + 1] AS kind,
+pairs AS (SELECT doc_id, item_id, length, chain, p, t[p + 1] AS kind,
                  lower(replace(s.words[p + 1], chr(1), '')) AS item_value,
-                 CASE WHEN p + shift >= 0
-                      THEN lower(replace(d.words[p + shift + 1], chr(1), '')) END AS doc_value
-          FROM found f JOIN slots s USING (item_id, length) JOIN d USING (doc_id)
-          WHERE t[p + 1] IN ('{NUMBER}', '{UNIT}', '{NAME}')),
-vals AS (SELECT doc_id, item_id, length, shift, kind, item_value, count(DISTINCT doc_value) AS n,
+                 arg_max(lower(replace(d.words[p + shift + 1], chr(1), '')),
+                         struct_pack(size := len(c.words), near := -shift)) AS doc_value
+          FROM found JOIN chained c USING (doc_id, item_id, length, chain) JOIN slots s USING (item_id, length)
+          JOIN d USING (doc_id)
+          WHERE t[p + 1] IN ('{NUMBER}', '{UNIT}', '{NAME}') AND list_contains(c.words, p) GROUP BY ALL),
+vals AS (SELECT doc_id, item_id, length, chain, kind, item_value, count(DISTINCT doc_value) AS n,
                 min(doc_value) AS v FROM pairs GROUP BY ALL),
-checked AS (SELECT doc_id, item_id, length, shift, max(n) AS most, count(*) AS slots,
+checked AS (SELECT doc_id, item_id, length, chain, max(n) AS most, count(*) AS slots,
                    sum(CASE WHEN v <> item_value THEN 1 ELSE 0 END) AS changed FROM vals GROUP BY ALL),
 best AS (SELECT f.doc_id, f.item_id, max(struct_pack(coverage := covered::DOUBLE / f.length,
                 slots := coalesce(slots, 0), changed := coalesce(changed, 0))) AS m
-         FROM found f LEFT JOIN checked c USING (doc_id, item_id, length, shift)
+         FROM found f LEFT JOIN checked c USING (doc_id, item_id, length, chain)
          WHERE coalesce(most, 0) <= 1 GROUP BY ALL)
 SELECT doc_id, item_id, m.coverage AS coverage, m.slots::INTEGER AS slots, m.changed::INTEGER AS changed
 FROM best

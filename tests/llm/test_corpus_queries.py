@@ -61,6 +61,7 @@ STAGES = {
     "exact": lambda spark, d: exact.without_copies(d),
     "simhash": lambda spark, d: simhash.without_near_duplicates(d),
     "decontam": lambda spark, d: decontam.decontaminated(d, benchmark(spark, (1, None), (2, "item of words"))),
+    "decontam without items": lambda spark, d: decontam.decontaminated(d, benchmark(spark, (1, "x")).filter("false")),
     "mixing": lambda spark, d: mixing.sampled(d, budget=1.0, targets={}),
 }
 

@@ -31,6 +31,36 @@ def test_short_items_match_whole_documents_alone(spark, docs):
     assert set(found(spark, docs((1, "Short item!"), (2, "a short item here")), (1, "short item"))) == {(1, 1)}
 
 
+def test_short_items_are_found_inside_texts(spark, docs):
+    item = "What is the capital of France?"
+    d = docs((1, f"They asked him: {item} He did not know."), (2, "What is the capital of Spain? he said again."),
+             (3, "the capital of France is what it is"), (4, None))
+    assert found(spark, d, (9, item)).keys() >= {(1, 9), (2, 9)}
+    assert (3, 9) not in found(spark, d, (9, item))
+
+
+PLAIN = ("Anna buys 12 apples and 30 pears at the market on Monday morning, then Anna gives her sister 12 apples and "
+         "sells the 30 pears for 45 euros to a neighbour who lives near the river")
+
+
+def test_a_word_put_in_or_left_out(spark, docs):
+    put_in = PLAIN.replace("on Monday morning", "on a Monday morning")
+    left_out = PLAIN.replace("at the market on", "at market on")
+    changed = put_in.replace("12 apples", "17 apples")
+    hits = found(spark, docs((1, f"Before it. {put_in}."), (2, left_out), (3, f"x y z {changed}")), (1, PLAIN))
+    assert hits.keys() == {(1, 1), (2, 1), (3, 1)}
+    assert [hits[k, 1][1] for k in (1, 2, 3)] == [False, False, True]
+    assert all(coverage > 0.6 for coverage, _ in hits.values())
+
+
+def test_values_outside_the_copied_part_do_not_count(spark, docs):
+    words = PLAIN.split()
+    copied = " ".join(words[:len(words) * 2 // 3])
+    d = docs((1, f"{copied} and nothing else of it, but 99 other words and 7 Names of Peter and 1 more, 2 of 3"),
+             (2, " ".join(words[:10])))
+    assert found(spark, d, (1, PLAIN)).keys() == {(1, 1)}
+
+
 def test_contaminated_documents_go(spark, docs):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert [r["doc_id"] for r in decontaminated(docs((1, ITEM), (2, "clean")), bench).collect()] == [2]
