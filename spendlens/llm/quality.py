@@ -181,8 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           target: str = "quality", max_rows: int = MAX_ROWS) -> AdditiveModel:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold.
 
-    The sample's ids are broadcast: 16 bytes for each of ``max_rows`` rows. Its features, a few
-    numbers per row, are all that reaches the driver.
+    The sample's ids are broadcast: 16 bytes for each of ``max_rows`` rows. Of the rows that repeat an id
+    one text is learnt from. The features, a few numbers per id, are all that reaches the driver.
     """
     sample = F.broadcast(labelled_sample(labels, target, max_rows, id_col))
     names = [f"f{i}" for i in range(len(FEATURES))]
@@ -192,7 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             columns = [pa.array(values) for values in _matrix(part.column(1)).T]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["label", *names])
 
-    rows = id_and_text(docs, id_col, text_col).join(sample, "doc_id").select("label", "text")
+    rows = (id_and_text(docs, id_col, text_col).join(sample, "doc_id").groupBy("doc_id", "label")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("label", "text"))
     found = rows.mapInArrow(batches, ", ".join(["label int", *(f"{n} double" for n in names)])).toPandas()
     found = found.sort_values(names).to_numpy(dtype=float)  # a fixed order, whatever the tasks' order
     return fit(found[:, 1:], found[:, 0])
