@@ -24,7 +24,6 @@ from spendlens.llm.common import id_and_text, staged
 from spendlens.llm.labels import FOLDS, held_out, labelled_sample
 
 MAX_ROWS = 20_000  # labelled rows, and rows with posterior labels, that are learnt from at most
-MAX_GRAMS = 4_000  # n-grams in the lexicons, at most
 LEAST_RATIO = 14.0  # log-likelihood ratio of an n-gram with the toxic label, to enter a lexicon
 WEAK, STRONG = 0.9, 0.98  # share of toxic documents, of equally many of both kinds, for each tier
 THRESHOLD = 0.5
@@ -85,10 +84,11 @@ def _ratio(toxic: pd.Series, clean: pd.Series, n_toxic: int, n_clean: int) -> np
     return np.where(np.asarray(toxic) > have_toxic, ratio, 0.0)
 
 
-def induce_lexicon(docs: DataFrame, sample: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, float]:
-    """N-grams that go with the toxic label in the sample, with their precision; at most ``max_grams``.
+def induce_lexicon(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
+    """All n-grams that go with the toxic label in the sample, with their precision.
 
-    The precision is smoothed and that of equally many toxic and clean documents.
+    The precision is smoothed and that of equally many toxic and clean documents. The sample bounds the
+    number of n-grams; only those that pass both tests leave the tasks.
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -110,15 +110,18 @@ def induce_lexicon(docs: DataFrame, sample: DataFrame, max_grams: int = MAX_GRAM
     # pos * ln(1 / share) bounds the ratio from above where no clean text has the n-gram
     least = max(2, math.ceil(LEAST_RATIO / (2 * math.log(1 / share))))
     toxic, clean = F.col("toxic"), F.col("clean")
+    def significant(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rates = part["toxic"] / n_toxic, (part["clean"] + 0.5) / n_clean
+            part["precision"] = rates[0] / (rates[0] + rates[1])
+            strength = _ratio(part["toxic"], part["clean"], n_toxic, n_clean)
+            yield part.loc[(strength >= LEAST_RATIO) & (part["precision"] >= WEAK), ["gram", "precision"]]
+
     found = (rows.mapInArrow(batches, "gram string, toxic long, clean long").groupBy("gram")
              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .filter((toxic >= least) & (toxic / n_toxic > 4 * clean / n_clean))
-             .orderBy((toxic / n_toxic - clean / n_clean).desc(), "gram").limit(max_grams).toPandas())
-    strength = _ratio(found["toxic"], found["clean"], n_toxic, n_clean)
-    rates = found["toxic"] / n_toxic, (found["clean"] + 0.5) / n_clean
-    precision = rates[0] / (rates[0] + rates[1])
-    return {g: float(p) for g, p, s in zip(found["gram"], precision, strength)
-            if s >= LEAST_RATIO and p >= WEAK}
+             .mapInPandas(significant, "gram string, precision double"))
+    return {row.gram: row.precision for row in found.orderBy("gram").collect()}
 
 
 @dataclass
@@ -288,7 +291,7 @@ def read_signals(docs: DataFrame, signals: Signals) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             target: str = "toxic", max_rows: int = MAX_ROWS, max_grams: int = MAX_GRAMS) -> DataFrame:
+             target: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
     """One row per input row: doc_id, score (0 to 1, higher: toxic likelier), votes, hits.
 
     Lexicons are induced from at most ``max_rows`` labelled documents outside the held-out fold. One
@@ -304,7 +307,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     pair = id_and_text(docs, id_col, text_col)
     sample = staged(labelled_sample(labels, target, max_rows, id_col), "labelled")
     apart = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 1
-    signals = Signals.of(induce_lexicon(pair, sample.filter(~apart), max_grams))
+    signals = Signals.of(induce_lexicon(pair, sample.filter(~apart)))
     found = staged(read_signals(pair, signals), "signals")
 
     known = (found.join(F.broadcast(sample.filter(apart)), "doc_id").groupBy("votes")
