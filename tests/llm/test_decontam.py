@@ -1,6 +1,12 @@
 from __future__ import annotations
 
-from spendlens.llm.decontam import contaminated, decontaminated
+import duckdb
+import pytest
+from compare import difference
+from pyspark.sql import functions as F
+
+from spendlens.llm.decontam import (
+    MARK, ORACLE, contaminated, decontaminated, marked, marked_words, template, template_text)
 
 ITEM = ("A train travels 60 km in 2 hours. How far does Maria think it goes in 5 hours, asked Peter, "
         "if Maria keeps 60 km as the distance?")
@@ -61,6 +67,30 @@ def test_values_outside_the_copied_part_do_not_count(spark, docs):
     assert found(spark, d, (1, PLAIN)).keys() == {(1, 1)}
 
 
+def test_templates_of_texts_are_those_of_their_words(spark):
+    texts = [ITEM, OTHER, MIXED, PLAIN, "", "  ", "5 Km, 6 kg km 7", "3rd of 12th; Anna Bell. Tom 1,000.5 kg", "x # 5 % @ 4 feet",
+             "Ünder Ärger, Σας 7 Σ", "A b, C d. E 12:30 hours Maria", "\x01Word 5 \x01Kg"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for names in (False, True):
+        whole = template_text(marked(F.col("text")))
+        whole = F.regexp_replace(whole, f"{MARK}[^ ]+", "@") if names else F.translate(whole, MARK, "")
+        found = rows.select(whole.alias("a"), F.array_join(template(marked_words(F.col("text")), names), " ").alias("b")).collect()
+        assert [r["a"] for r in found] == [r["b"] for r in found]
+
+
+@pytest.mark.parametrize("texts, items", [
+    ([ITEM, OTHER, MIXED, f"before {OTHER} after {ITEM}"], [ITEM]),
+    ([PLAIN.replace("Monday", "a Monday"), PLAIN.replace("the ", ""), PLAIN[:100], f"{PLAIN} {PLAIN}"], [PLAIN, ITEM]),
+    (["They said: What is the capital of Spain? No.", "the capital of France"], ["What is the capital of France?", "a b"])])
+def test_equals_sql(spark, texts, items):
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", documents.toPandas())
+    con.register("benchmark", benchmark.toPandas())
+    assert difference(contaminated(documents, benchmark), con, ORACLE) is None
+
+
 def test_contaminated_documents_go(spark, docs):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert [r["doc_id"] for r in decontaminated(docs((1, ITEM), (2, "clean")), bench).collect()] == [2]
