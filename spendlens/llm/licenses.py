@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendlens.llm.common import ASCII_SPACE, column, staged
 
 # Notices by which works name their licence.
-TEMPLATES = (
+NOTICES = (
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
@@ -39,11 +39,30 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Titles of licence texts.
+TITLES = (
+    ("AGPL-3.0", "GNU Affero General Public License Version 3"),
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("GPL-2.0", "GNU General Public License Version 2"),
+    ("GPL-3.0", "GNU General Public License Version 3"),
+    ("ISC", "ISC License"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3"),
+    ("MIT", "MIT License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
+SPDX = tuple((name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in NOTICES} - {"Proprietary"}))
+TEMPLATES = (*NOTICES, *TITLES, *SPDX)
 CUE = (r"(?i)licen[cs]|copyright|spdx|rights reserved|public domain|hereby granted|redistribution and use"
        r"|creative commons|\bcc[- ]by")
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
 LEAST = 0.6  # cosine from which a passage names a template's licence
-FILE_WORDS = 50  # a text of at most so many words that names a licence is a licence file
+SENTENCE_END = r"([.!?])[ \t]+"
+SPAN = 4  # lines or sentences that a notice may be wrapped over
 DIGITS = 6
 
 
@@ -54,6 +73,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
+def word_count(text: Column) -> Column:
+    spaced = F.translate(text, ASCII_SPACE, " " * len(ASCII_SPACE))
+    return F.size(F.filter(F.split(spaced, " "), lambda w: w != ""))
+
+
+def notices(units: Column) -> Column:
+    """What may be a notice: each line or sentence with a licence word, and with those that follow it."""
+    begin = F.filter(F.sequence(F.lit(1), F.size(units)), lambda i: F.get(units, i - 1).rlike(CUE))
+    wrapped = F.transform(begin, lambda i: F.transform(
+        F.sequence(F.lit(1), F.lit(SPAN)), lambda n: F.trim(F.array_join(F.slice(units, i, n), " "))))
+    return F.array_distinct(F.flatten(wrapped))
+
+
 def template_vectors(spark: SparkSession, templates=TEMPLATES) -> tuple[DataFrame, float]:
     """(template, license, word, idf, share): unit vectors of tf * idf, and the idf of unknown words.
 
@@ -100,35 +132,34 @@ def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
          least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """One row per input row: doc_id, path, license, score, origin, licensed_by.
 
-    Lines with a licence word are compared with the templates; the best one names the document's
-    licence (origin ``own``). A document named like a licence file, or of at most ``FILE_WORDS``
-    words, that names a licence is a licence file of its directory; of several the best score counts,
-    then the smallest path. Documents without a licence inherit that of the nearest directory at
-    or above their own (origin ``inherited``); ``licensed_by`` is the path that gave it. Null and
-    empty texts can only inherit; a null path is the empty one, and lies in the root directory.
-    Repeated rows give equal rows, an empty table none, and other columns are not read.
+    A text is taken apart into lines and sentences. Each one with a licence word is compared with the
+    templates, by itself and joined with up to ``SPAN`` - 1 that follow it, so a wrapped notice is read
+    whole; the best one names the document's licence (origin ``own``). A document named like a licence
+    file, or at least half of whose words are such a notice, is a licence file of its directory; of
+    several the best score counts, then the smallest path. Documents without a licence inherit that of
+    the nearest directory at or above their own (origin ``inherited``); ``licensed_by`` is the path that
+    gave it. Null and empty texts can only inherit; a null path is the empty one, and lies in the root
+    directory. Repeated rows give equal rows, an empty table none, and other columns are not read.
     """
     vectors, unknown = template_vectors(docs.sparkSession, templates)
     rows = docs.select(column(id_col).alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
                        F.coalesce(column(text_col), F.lit("")).alias("text"))
-    spaced = F.translate(F.col("text"), ASCII_SPACE, " " * len(ASCII_SPACE))
-    short = F.size(F.filter(F.split(spaced, " "), lambda w: w != "")) <= FILE_WORDS
-    lines = F.when(F.col("text").rlike(CUE), F.array_distinct(F.transform(F.filter(
-        F.split("text", "\n"), lambda line: line.rlike(CUE)), F.trim)))
-    # the count of words is asked for only where there is a notice
-    found = staged(rows.select("doc_id", "path", lines.alias("lines"),
-                               F.when(F.col("text").rlike(CUE), short).alias("short")), "notices")
-    named = found.filter("size(lines) > 0").select("doc_id", "path", "short", F.explode("lines").alias("passage"))
+    cued = F.when(F.col("text").rlike(CUE), F.col("text"))
+    # each array is a column of its own before it is indexed, so that it is built once per text
+    found = staged(rows.select("doc_id", "path", F.split(F.regexp_replace(cued, SENTENCE_END, "$1\n"), "\n").alias("units"))
+                   .select("doc_id", "path", notices(F.col("units")).alias("notices"),
+                           F.aggregate("units", F.lit(0), lambda n, unit: n + word_count(unit)).alias("n_words")),
+                   "notices")
+    named = found.filter("size(notices) > 0").select("doc_id", "path", "n_words", F.explode("notices").alias("passage"))
     passages = staged(match(named.select("passage").distinct(), vectors, unknown, least), "passages")
-    own = (named.join(passages, "passage").groupBy("doc_id", "path", "short")
-           .agg(F.max(F.struct("score", "license")).alias("best"))
-           .select("doc_id", "path", "short", "best.license", "best.score"))
-    own = staged(own.groupBy("doc_id", "path").agg(F.max(F.struct("score", "license", "short")).alias("b"))
-                 .select("doc_id", "path", "b.license", "b.score", "b.short"), "own")
+    whole = 2 * word_count(F.col("passage")) >= F.col("n_words")
+    own = staged(named.join(passages, "passage").groupBy("doc_id", "path")
+                 .agg(F.max(F.struct("score", "license")).alias("b"), F.max(whole).alias("whole"))
+                 .select("doc_id", "path", "b.license", "b.score", "whole"), "own")
 
     directory = F.regexp_replace(F.col("path"), "[^/]*$", "")
     name = F.element_at(F.split("path", "/"), -1)
-    files = (own.filter(F.col("short") | name.rlike(FILE_NAME)).withColumn("directory", directory)
+    files = (own.filter(F.col("whole") | name.rlike(FILE_NAME)).withColumn("directory", directory)
              .groupBy("directory").agg(F.min(F.struct((-F.col("score")).alias("order"), "path", "license")).alias("f"))
              .select("directory", F.col("f.license").alias("license"), F.col("f.path").alias("licensed_by")))
     files = staged(files, "licence_files")
@@ -169,7 +200,10 @@ def _sql() -> str:
     values = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
     n = len(TEMPLATES)
     cue = CUE.replace("(?i)", "")
-    spaced = "translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')"
+    def count(text: str) -> str:
+        spaced = f"translate({text}, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')"
+        return f"len(list_filter(string_split({spaced}, ' '), lambda w: w <> ''))"
+
     return f"""
 WITH t(template, license, body) AS (VALUES {values}),
 tt AS (SELECT template, license, word, count(*) AS tf FROM (SELECT template, license, unnest({split('body')}) AS word
@@ -180,10 +214,13 @@ tn AS (SELECT template, sqrt(sum(x * x)) AS norm FROM tx GROUP BY 1),
 vec AS (SELECT template, license, word, x / norm AS share FROM tx JOIN tn USING (template)),
 d AS (SELECT doc_id, concat_ws('/', source, lang, floor(doc_id / 512)::BIGINT, floor(doc_id / 32)::BIGINT,
         'doc-' || doc_id) AS path, coalesce(text, '') AS text,
-        len(list_filter(string_split({spaced}, ' '), lambda w: w <> '')) <= {FILE_WORDS} AS short FROM documents),
-lines AS (SELECT DISTINCT doc_id, path, short, trim(line) AS passage FROM
-          (SELECT doc_id, path, short, unnest(string_split(text, chr(10))) AS line FROM d)
-          WHERE regexp_matches(line, '{cue}', 'i')),
+        {count("coalesce(text, '')")} AS n_words FROM documents),
+units AS (SELECT doc_id, path, n_words,
+            string_split(regexp_replace(text, '{SENTENCE_END}', '\\1' || chr(10), 'g'), chr(10)) AS u
+          FROM d WHERE regexp_matches(text, '{cue}', 'i')),
+begin AS (SELECT doc_id, path, n_words, u, unnest(range(1, len(u) + 1)) AS i FROM units),
+lines AS (SELECT DISTINCT doc_id, path, n_words, trim(array_to_string(list_slice(u, i, i + n - 1), ' ')) AS passage
+          FROM begin, range(1, {SPAN + 1}) AS spans(n) WHERE regexp_matches(u[i], '{cue}', 'i')),
 pt AS (SELECT passage, word, count(*) AS tf FROM (SELECT passage, unnest({split('passage')}) AS word
        FROM (SELECT DISTINCT passage FROM lines)) GROUP BY ALL),
 px AS (SELECT passage, word, tf * coalesce(idf, {unknown_idf(n)!r}) AS x FROM pt LEFT JOIN idf USING (word)),
@@ -191,10 +228,11 @@ pn AS (SELECT passage, sqrt(sum(x * x)) AS norm FROM px GROUP BY 1),
 dots AS (SELECT passage, template, license, sum(x * share) AS dot FROM px JOIN vec USING (word) GROUP BY ALL),
 best AS (SELECT passage, max(struct_pack(score := round(dot / norm, {DIGITS}), license := license)) AS b
          FROM dots JOIN pn USING (passage) WHERE round(dot / norm, {DIGITS}) >= {LEAST} GROUP BY 1),
-own AS (SELECT doc_id, path, short, max(b) AS b FROM lines JOIN best USING (passage) GROUP BY ALL),
+own AS (SELECT doc_id, path, max(b) AS b, bool_or(2 * {count('passage')} >= n_words) AS whole
+        FROM lines JOIN best USING (passage) GROUP BY ALL),
 files AS (SELECT regexp_replace(path, '[^/]*$', '') AS directory,
             min(struct_pack(o := -b.score, path := path, license := b.license)) AS f FROM own
-          WHERE short OR regexp_matches(string_split(path, '/')[-1], '{FILE_NAME.replace("(?i)", "")}', 'i') GROUP BY 1),
+          WHERE whole OR regexp_matches(string_split(path, '/')[-1], '{FILE_NAME.replace("(?i)", "")}', 'i') GROUP BY 1),
 dirs AS (SELECT DISTINCT regexp_replace(path, '[^/]*$', '') AS directory FROM d),
 above AS (SELECT directory, unnest(range(len(string_split(directory, '/')))) AS depth FROM dirs),
 near AS (SELECT a.directory, max(struct_pack(depth := depth, license := f.license, path := f.path)) AS m
