@@ -33,3 +33,24 @@ def test_a_long_chain(spark):
     rows = [(1, 0, "user", "message 0")] + [(1, t, "user", f"> message {t - 1}\nmessage {t}") for t in range(1, 70)]
     hits = found(spark, *rows)
     assert all(hits[1, t]["root"] == 0 and hits[1, t]["depth"] == t for t in range(70))
+
+
+def test_parts_of_messages_find_their_origin(spark):
+    first = "The bridge is closed on Monday.\nPlease take the ferry instead. It leaves at nine in the morning.\nThank you."
+    hits = found(
+        spark, (1, 0, "user", first), (1, 1, "user", "Something else was said here before."),
+        (1, 2, "user", "> The bridge is closed on Monday.\n> Please take the ferry instead. It leaves at nine in the morning.\nGood."),
+        (1, 3, "user", "> It leaves at nine in\n> the morning.\n> Thank you.\nToo early."),  # wrapped anew, from the middle
+        (1, 4, "user", "> It leaves at nine in the morning.\n> Something else was said here before.\n> Something else again was said.\nSo."),
+        (1, 5, "user", "> Thank you.\n> And more that nobody wrote.\nNo."))
+    assert [hits[1, t]["parent"] for t in range(6)] == [None, None, 0, 0, 1, None]
+    assert [hits[1, t]["n_linked"] for t in range(6)] == [0, 0, 1, 1, 1, 0]
+    assert hits[1, 3]["text"] == "Too early." and hits[1, 5]["n_quotes"] == 1
+
+
+def test_clashing_columns_and_repeated_messages(spark):
+    df = spark.createDataFrame([(1, 0, "user", "One line of text.", 5, "x"), (1, 1, "user", "> one line of text.\nYes.", 6, "y"),
+                                (1, 1, "user", "> one line of text.\nYes.", 6, "y")],
+                               "conv_id long, turn long, role string, text string, origin int, digest string")
+    rows = [(r["turn"], r["parent"], r["n_quotes"], r["text"]) for r in link_quotes(df).collect()]
+    assert sorted(rows, key=str) == [(0, None, 0, "One line of text."), (1, 0, 1, "Yes."), (1, 0, 1, "Yes.")]
