@@ -16,7 +16,7 @@ MEASURES = ("amount", "operations")
 
 
 def _listed(ws: Workspace) -> DataFrame:
-    return listed_ecommerce(ws.table("merchant_sales"), ws.table("merchant_registry"),
+    return listed_ecommerce(ws.table("merchant_sales"), ws.registry_merchants.filter("registry_rows > 0"),
                             ws.params.ecommerce_category)
 
 

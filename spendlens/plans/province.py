@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlens.functions.exprs import day, distinct_count, ratio
-from spendlens.operators.checks import repeated
 from spendlens.operators.history import distinct_keys
 from spendlens.operators.metrics import shares
 from spendlens.operators.ranking import OTHER, top_per_group
@@ -45,10 +44,8 @@ def merchants_by_province(ws: Workspace) -> DataFrame:
 
 
 def registry_rows(ws: Workspace) -> DataFrame:
-    registry = ws.table("merchant_registry")
-    total = registry.agg(F.count(F.lit(1))).scalar()
-    return (registry.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("registry_rows"))
-            .withColumn("share", ratio(F.col("registry_rows"), total)))
+    total = ws.registry_merchants.agg(F.sum("registry_rows")).scalar()
+    return ws.registry_merchants.withColumn("share", ratio(F.col("registry_rows"), total))
 
 
 def _listing(ws: Workspace, rows: DataFrame, *order: str) -> DataFrame:
@@ -59,12 +56,11 @@ def _listing(ws: Workspace, rows: DataFrame, *order: str) -> DataFrame:
 def registry_duplicates(ws: Workspace) -> DataFrame:
     """Rows of the merchants listed more than once.
 
-    Their keys are written first: then both sides of the join are plain shuffles, which AQE can
-    split for a merchant with very many rows.
+    The merchants are written: then both sides of the join are plain shuffles, which AQE can split for a
+    merchant with very many rows.
     """
-    registry = ws.table("merchant_registry")
-    keys = ws.stage.table("repeated_merchants", lambda: repeated(registry, "merchant_id"))
-    return _listing(ws, registry.join(keys, "merchant_id", "left_semi"),
+    keys = ws.registry_merchants.filter("registry_rows > 1")
+    return _listing(ws, ws.table("merchant_registry").join(keys, "merchant_id", "left_semi"),
                     "merchant_id", "address", "legal_name", "province", "locality")
 
 

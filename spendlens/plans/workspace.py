@@ -286,12 +286,19 @@ class Workspace:
         return self.stage.table("merchant_bitmaps", lambda: key_bitmaps(
             self.table("merchant_sales"), self.merchant_history, MERCHANT, MERCHANT_CELL))
 
+    @cached_property
+    def registry_merchants(self) -> DataFrame:
+        """Merchants of the registry with their number of rows. Written, so that a join on them is a plain
+        shuffle that AQE can split, and Spark can build a Bloom filter for the other side from it."""
+        return self.stage.table("registry_merchants", lambda: self.table("merchant_registry").groupBy(MERCHANT).agg(
+            F.count(F.lit(1)).alias("registry_rows")))
+
     @cached_property
     def merchant_base(self) -> DataFrame:
         """Merchant sales after reassignment and merging of categories; as large as the input,
         so it stays lazy and each report prunes it."""
         p = self.params
         return remap_category(
-            reassign_merchants(self.table("merchant_sales"), self.table("merchant_registry"),
+            reassign_merchants(self.table("merchant_sales"), self.registry_merchants,
                                self.market_weights, p.ecommerce_category, p.amount_weight),
             p.merges)
