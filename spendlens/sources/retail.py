@@ -54,9 +54,13 @@ class RetailInputs:
         self.spark = spark
         self.folder = folder
         self.stage = stage.scope()
+        self.counted = False
 
     def table(self, name: str) -> DataFrame:
         sort_within = "period" if name == "merchant_sales" else None
+        if not self.counted:
+            self.stage.expect(self._raw("lineitem").count())
+            self.counted = True
         return self.stage.table(name, lambda: self._typed(name), sort_within)
 
     def _typed(self, name: str) -> DataFrame:
