@@ -75,17 +75,23 @@ def _target(cells: DataFrame, margin: str, given: Mapping[str, float] | None, po
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``weight``: their token share after fitting each margin ``rounds`` times."""
+    """Cells with ``weight``: their token share after fitting each margin ``rounds`` times.
+
+    The targets are joined once, and every fit is written before the next one reads it: a fit reads the
+    cells twice, so a plan of several holds the first ones many times over, and the driver keeps each
+    broadcast table and each description of such a plan.
+    """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
-    cells = cells.withColumn("weight", F.col("tokens") / F.lit(total))
+    for margin, target in targets.items():
+        cells = cells.join(target.withColumnRenamed("target", f"target_{margin}"), margin, "left")
+    cells = staged(cells.withColumn("weight", F.col("tokens") / F.lit(total)), "unfitted")
     for i in range(rounds):
-        for margin, target in targets.items():
-            sums = cells.groupBy(margin).agg(F.sum("weight").alias("sum")).join(target, margin, "left")
-            factor = F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0)
-            cells = cells.join(sums.select(margin, factor.alias("factor")), margin).withColumn(
-                "weight", F.col("weight") * F.col("factor")).drop("factor")
-        cells = staged(cells, f"raked_{i}")
-    return cells
+        for margin in targets:
+            sums = cells.groupBy(margin).agg(F.sum("weight").alias("sum"))
+            factor = F.when(F.col("sum") > 0, F.coalesce(f"target_{margin}", F.lit(0.0)) / F.col("sum")).otherwise(0.0)
+            fitted = cells.join(sums, margin).withColumn("weight", F.col("weight") * factor).drop("sum")
+            cells = staged(fitted, f"raked_{i}_{margin}")
+    return cells.drop(*[f"target_{margin}" for margin in targets])
 
 
 def calibrated(cells: DataFrame, budget: float = BUDGET, caps: int = CAPS) -> DataFrame:

@@ -39,3 +39,16 @@ def test_the_sample_is_the_same_each_time(corpus):
 def test_values_without_a_target_are_left_out(corpus):
     kept = mixing.sampled(corpus, targets={"lang": {"en": 1.0}}, budget=0.2)
     assert {r["lang"] for r in kept.select("lang").distinct().collect()} == {"en"}
+
+
+def test_a_written_plan_holds_one_fit(corpus, monkeypatch):
+    plans, staged = {}, mixing.staged
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(mixing, "staged", recorded)
+    assert mixing.sampled(corpus, topic=F.col("kind")).count() > 0
+    fits = {name: plan.count("Join ") for name, plan in plans.items() if name.startswith("raked")}
+    assert fits == {f"raked_{i}_{margin}": 1 for i in range(mixing.ROUNDS) for margin in mixing.MARGINS}
